@@ -46,12 +46,14 @@ def insert_ignore(
     chain; every round settles at least one row, so the loop ends.
     """
     rows = incoming.filter(all_of([F.col(k).isNotNull() for k in key_sets[0]]))
+    every_key = list(dict.fromkeys(k for keys in key_sets for k in keys))
+    # Of rows equal in all keys only the first can ever enter. This comes before
+    # the join with the target, so copies are combined before any shuffle, and
+    # the join finds the rows already partitioned by the primary key.
+    rows = first_per_key(rows, every_key, order)
     if target is not None:
         for keys in key_sets:
             rows = _anti(rows, target, keys)
-    every_key = list(dict.fromkeys(k for keys in key_sets for k in keys))
-    # of rows equal in all keys only the first can ever enter
-    rows = first_per_key(rows, every_key, order)
     if len(key_sets) == 1:
         return rows
 

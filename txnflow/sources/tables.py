@@ -70,13 +70,13 @@ def stored_before(
 
 
 def scan_staging(spark: SparkSession, root: str, load_id: str | None = None, accepted: bool = True) -> DataFrame:
-    """Staging rows, of one load if named; the refused ones if not ``accepted``."""
-    flags = [T.StructField("violated", T.ArrayType(T.StringType()), True), LOAD]
-    schema = T.StructType([*STAGING_SCHEMA.fields, *flags, T.StructField("accepted", T.BooleanType(), True)])
-    df = spark.read.schema(schema).parquet(f"{root}/staging").filter(F.col("accepted") == accepted)
+    """Staging rows, of one load if named; the refused ones with their reasons if not ``accepted``."""
+    violated = T.StructField("violated", T.ArrayType(T.StringType()), True)
+    df = spark.read.schema(T.StructType([*STAGING_SCHEMA.fields, violated, LOAD])).parquet(f"{root}/staging")
     if load_id is not None:
         df = df.filter(F.col("load_id") == load_id)
-    return df.select(*STAGING_SCHEMA.names, *([] if accepted else ["violated"]))
+    kept = F.col("violated").isNull()
+    return df.filter(kept).select(*STAGING_SCHEMA.names) if accepted else df.filter(~kept).drop("load_id")
 
 
 def scan_ids(table: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnflow.operators.constraints import violations
+from txnflow.operators.constraints import acceptable, violations
 from txnflow.operators.normalise import load_tables, with_audit
 from txnflow.operators.project import to_staging
 from txnflow.schema import TABLES
@@ -13,11 +13,9 @@ from txnflow.sources.tables import BY_MONTH, MONTH, Months, create_tables, month
 
 
 def write_staging(records: DataFrame, root: str, load_id: str, **id_options) -> None:
-    """Add ids, check the constraints, store. Refused rows are kept apart with their reasons."""
-    rows = to_staging(records, **id_options).withColumn("violated", violations())
-    rows.withColumn("accepted", F.size("violated") == 0).write.mode("overwrite").partitionBy("accepted").parquet(
-        f"{root}/staging/load_id={load_id}"
-    )
+    """Add ids, check the constraints, store. Refused rows carry their reasons."""
+    rows = to_staging(records, **id_options).withColumn("violated", F.when(~acceptable(), violations()))
+    rows.write.mode("overwrite").parquet(f"{root}/staging/load_id={load_id}")
 
 
 def write_delta(name: str, delta: DataFrame, root: str, load_id: str) -> None:
