@@ -11,26 +11,26 @@ from txnflow.schema import FIELD_NAMES, RECORD_FIELDS
 
 GOOD = {
     "trans_date_trans_time": "2019-01-01 00:00:18",
-    "cc_num": "2703186189652095",
-    "merchant": "fraud_Rippin, Kub and Mann",
-    "category": "misc_net",
-    "amt": "4.97",
-    "first": "Jennifer",
-    "last": "Banks",
+    "cc_num": "4000111122223333",
+    "merchant": "fraud_Alder, Birch and Co",
+    "category": "travel",
+    "amt": "12.35",
+    "first": "Ada",
+    "last": "Quill",
     "gender": "F",
-    "street": "561 Perry Cove",
-    "city": "Moravian Falls",
-    "state": "NC",
-    "zip": "28654",
-    "lat": "36.0788",
-    "long": "-81.1781",
-    "city_pop": "3495",
-    "job": "Psychologist, counselling",
-    "dob": "1988-03-09",
-    "trans_num": "0b242abb623afc578575680df30655b9",
-    "unix_time": "1325376018",
-    "merch_lat": "36.011293",
-    "merch_long": "-82.048315",
+    "street": "7 Harbour Row",
+    "city": "Eastmoor",
+    "state": "ZZ",
+    "zip": "10203",
+    "lat": "51.25",
+    "long": "-3.5",
+    "city_pop": "4200",
+    "job": "Surveyor, marine",
+    "dob": "1990-02-11",
+    "trans_num": "t-0001",
+    "unix_time": "1546300818",
+    "merch_lat": "51.5",
+    "merch_long": "-3.25",
     "is_fraud": "0",
 }
 
