@@ -15,7 +15,8 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("txnflow-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.driver.memory", "6g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()

@@ -18,11 +18,11 @@ from txnflow.operators.joins import denormalise, known_only, not_stored
 from txnflow.operators.project import columns_used, create_id_cols, drop_columns, drop_leading, select_remaining, to_staging
 from txnflow.plans.feed import as_text_fields, dirty_feed, feed, raw_feed, table
 from txnflow.schema import FIELD_NAMES, RAW_SCHEMA, TABLES
-from txnflow.session import configure, cut, new_folder
+from txnflow.session import configure, new_folder
 from txnflow.sinks.files import read_route, route_sinks, write_json_objects
 from txnflow.sources import csv as csv_source
-from txnflow.sources.tables import read_table, scan_ids
-from txnflow.streaming.load import load_batch
+from txnflow.sources.tables import read_table, scan_ids, scan_staging
+from txnflow.streaming.load import load_batch, write_staging
 from txnflow.streaming.start import start_ingest, start_load, wait
 
 # Rows before this time are the earlier load in the queries with two loads.
@@ -35,9 +35,22 @@ def clean_feed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def staging(spark: SparkSession, sf: str) -> DataFrame:
+    """Staging rows as one lazy projection."""
     return to_staging(clean_feed(spark, sf))
 
 
+def staging_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Staging rows as the loader sees them: a stored table.
+
+    The model queries read it several times, each time other columns, and
+    filter on ids; on the lazy rows every such filter would hash the names again.
+    """
+    root = new_folder(spark, "model")
+    configure(spark)
+    write_staging(clean_feed(spark, sf), root, "only")
+    return scan_staging(spark, root, "only")
+
+
 def _naive(df: DataFrame) -> DataFrame:
     """Timestamps without a zone, as the given tables have them."""
     zoned = [name for name, dtype in df.dtypes if dtype == "timestamp"]
@@ -276,7 +289,7 @@ def check_unique(spark, sf):
 
 def check_orphans(spark, sf):
     """Facts whose customer was loaded only later."""
-    rows = staging(spark, sf)
+    rows = staging_table(spark, sf)
     early = N.load_customer(rows.filter(F.col("transaction_ts") < FIRST_LOAD_ENDS))
     return _naive(C.check_reference(N.load_transactions(rows), "customer_id", early))
 
@@ -286,7 +299,7 @@ def check_orphans(spark, sf):
 
 def _dimension(name: str):
     def run(spark, sf):
-        rows = staging(spark, sf)
+        rows = staging_table(spark, sf)
         rollup = N.seller_rollup(rows) if name in ("category", "merchant", "merchant_category") else N.buyer_rollup(rows)
         return getattr(N, f"load_{name}")(rollup)
 
@@ -294,25 +307,24 @@ def _dimension(name: str):
 
 
 def fact(spark, sf):
-    return _naive(N.load_transactions(staging(spark, sf)))
+    return _naive(N.load_transactions(staging_table(spark, sf)))
 
 
 def first_city(spark, sf):
     """Same city and state with another population: the first one is kept."""
-    rows = staging(spark, sf).withColumn("city_pop", F.col("city_pop") + F.year("transaction_ts"))
+    rows = staging_table(spark, sf).withColumn("city_pop", F.col("city_pop") + F.year("transaction_ts"))
     return N.load_city(N.buyer_rollup(rows))
 
 
 def _two_loads(spark, sf):
-    rows = staging(spark, sf)
+    rows = staging_table(spark, sf)
     early = F.col("transaction_ts") < FIRST_LOAD_ENDS
     return rows.filter(early), rows.filter(~early)
 
 
 def _gated(spark, sf, grain):
     first, second = _two_loads(spark, sf)
-    second = cut(second)
-    return N.load_tables(second, N.load_tables(cut(first)), mode="gated", grain=grain)
+    return N.load_tables(second, N.load_tables(first), mode="gated", grain=grain)
 
 
 def gated_customer(spark, sf):
@@ -362,14 +374,14 @@ def new_address_rows(spark, sf):
 
 
 def denormalised(spark, sf):
-    rows = staging(spark, sf)
-    new = N.load_tables(cut(rows))
+    rows = staging_table(spark, sf)
+    new = N.load_tables(rows)
     return _naive(denormalise(new)).select(*rows.columns)
 
 
 def spend_by_category_state(spark, sf):
     """Flagship: load the model, join it back, sum the amounts."""
-    wide = denormalise(N.load_tables(cut(staging(spark, sf))))
+    wide = denormalise(N.load_tables(staging_table(spark, sf)))
     return wide.groupBy("category", "state").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("amount").cast("decimal(12,2)")).cast("double").alias("amount"),
