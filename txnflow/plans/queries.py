@@ -473,7 +473,7 @@ def _raw_files(spark, sf) -> tuple[str, int]:
     """The raw feed as text files, and how many of them make a third."""
     folder = new_folder(spark, "raw")
     raw_feed(spark, sf).write.text(folder)
-    return folder, max(1, len(spark.read.text(folder).inputFiles()) // 3)
+    return folder, -(-len(spark.read.text(folder).inputFiles()) // 3)
 
 
 def stream_load(spark, sf):
@@ -491,7 +491,7 @@ def stream_replay(spark, sf):
     clean = as_text_fields(clean_feed(spark, sf)).select(F.lit("0").alias("_c0"), *FIELD_NAMES)
     clean.write.option("header", True).csv(folder)
     root = new_folder(spark, "model")
-    per_trigger = max(1, len(spark.read.csv(folder).inputFiles()) // 2)
+    per_trigger = -(-len(spark.read.csv(folder).inputFiles()) // 2)
     for _ in range(2):
         records = csv_source.stream_csv_typed(spark, folder, per_trigger).drop("_c0")
         wait(start_load(records, root, new_folder(spark, "check"), None))
