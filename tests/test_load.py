@@ -282,3 +282,20 @@ def test_empty_batch_and_audit_columns(spark):
 def test_returning_gives_the_new_ids(spark):
     rows = N.seller_rollup(staged(spark, BASE))
     assert returning(N.load_category(rows)).columns == ["id"]
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_rows_in_reach_decide_like_the_whole_table(spark, monkeypatch, few):
+    from txnflow import session
+    from txnflow.operators import insert
+
+    monkeypatch.setattr(insert, "small_side", lambda df: session.small_side(df, 1000 if few else 0))
+    rng = random.Random(5)
+    schema = "id long, u long, n long"
+    some = lambda n, top: spark.createDataFrame([(rng.randrange(top), rng.randrange(top), i) for i in range(n)], schema)
+    target, incoming = some(30, 60), some(30, 60)
+    key_sets = [["id"], ["u"]]
+    near = insert.in_reach(target, incoming, key_sets)
+    assert rows_of(insert_ignore(near, incoming, key_sets, ["n"])) == rows_of(
+        insert_ignore(target, incoming, key_sets, ["n"])
+    )

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.session import all_of, cut
+from txnflow.session import all_of, cut, small_side
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -29,6 +29,17 @@ def _anti(rows: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.join(stored.select(*keys), list(keys), "left_anti")
 
 
+def in_reach(target: DataFrame, incoming: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFrame:
+    """The rows of ``target`` that share a key with ``incoming``; a row may occur once per key set.
+
+    All an insert needs of a large table when little comes in: with few
+    incoming keys they are broadcast and the table is scanned where it lies.
+    ``incoming`` should be stored, as its keys are counted.
+    """
+    hits = [target.join(small_side(incoming.select(*keys).distinct()), list(keys), "left_semi") for keys in key_sets]
+    return reduce(DataFrame.unionByName, [h.select(*target.columns) for h in hits])
+
+
 def insert_ignore(
     target: DataFrame | None, incoming: DataFrame, key_sets: Sequence[Sequence[str]], order: Sequence[str] = ()
 ) -> DataFrame:

@@ -17,11 +17,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.operators.insert import first_per_key, insert_ignore
+from txnflow.operators.insert import first_per_key, in_reach, insert_ignore, returning
 from txnflow.operators.joins import gated_by, known_only, not_stored
 from txnflow.operators.project import project_entity
 from txnflow.schema import ID_COLUMNS, STAGING_COLUMNS, TABLES
-from txnflow.session import cut
+from txnflow.session import cut, small_side
 
 Stored = Mapping[str, DataFrame]
 
@@ -29,6 +29,8 @@ TS = "transaction_ts"
 ROW_ORDER = ["transaction_ts", "transaction_num", "id"]
 
 _SELLER = ["merchant_category_id", "merchant_id", "merchant_name", "category_id", "category"]
+_FROM_SELLERS = ["category", "merchant", "merchant_category"]
+_FROM_BUYERS = ["city", "address", "customer"]
 _BUYER = [
     name
     for name, _ in STAGING_COLUMNS
@@ -50,10 +52,16 @@ def buyer_rollup(staging: DataFrame) -> DataFrame:
     return staging.groupBy(*_BUYER).agg(F.min(TS).alias(TS))
 
 
+def _key_sets(name: str) -> list[list[str]]:
+    """The keys an insert has to check; a UNIQUE key that implies the id needs no check of its own."""
+    table = TABLES[name]
+    return [["id"]] if table.id_from_unique else [["id"], list(table.unique)]
+
+
 def _insert(name: str, rows: DataFrame, stored: Stored, order=(TS,)) -> DataFrame:
     """Insert-or-ignore of one table; ``rows`` has staging columns."""
     table = TABLES[name]
-    key_sets = [["id"]] if table.id_from_unique else [["id"], list(table.unique)]
+    key_sets = _key_sets(name)
     extra = [c for c in order if c not in table.columns]
     delta = insert_ignore(stored.get(name), project_entity(rows, name, *extra), key_sets, order)
     return delta.select(*table.columns)
@@ -161,6 +169,9 @@ def load_tables(
         raise ValueError(f"unknown mode {mode!r} or grain {grain!r}")
     sellers = cut(seller_rollup(staging))
     buyers = cut(buyer_rollup(staging))
+    sources = dict.fromkeys(_FROM_SELLERS, sellers) | dict.fromkeys(_FROM_BUYERS, buyers)
+    near = {n: in_reach(stored[n], project_entity(rows, n), _key_sets(n)) for n, rows in sources.items() if n in stored}
+    stored = {**stored, **near}
     new = {
         "category": load_category(sellers, stored),
         "merchant": load_merchant(sellers, stored),
@@ -171,11 +182,16 @@ def load_tables(
     if mode == "complete":
         new["customer"] = load_customer(buyers, stored)
         refused = cut(refused_customers(buyers, stored, new["customer"]))
-        new["transactions"] = load_transactions(staging, stored, refused=None if refused.isEmpty() else refused)
+        new["transactions"] = load_transactions(
+            staging, stored, refused=None if refused.isEmpty() else small_side(refused)
+        )
     elif grain == "batch":
-        new["customer"] = load_customer(buyers, stored, new["address"])
+        new["customer"] = load_customer(buyers, stored, small_side(returning(new["address"])))
         new["transactions"] = load_transactions(
-            staging, stored, new_customers=new["customer"], new_bridges=new["merchant_category"]
+            staging,
+            stored,
+            new_customers=small_side(returning(new["customer"])),
+            new_bridges=small_side(returning(new["merchant_category"])),
         )
     else:
         new["customer"], new["transactions"] = gate_by_row(staging, stored)
