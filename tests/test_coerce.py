@@ -69,7 +69,7 @@ def outcomes(spark):
     return out
 
 
-def test_same_as_reference_model(outcomes):
+def test_same_as_an_independent_model(outcomes):
     pydantic = pytest.importorskip("pydantic")
     types = {"datetime": datetime, "string": str, "float": float, "int": int, "bool": bool}
     model = pydantic.create_model("Record", **{n: (types[k], ...) for n, k in RECORD_FIELDS})
