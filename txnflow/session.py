@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 # sets; beyond it the join is left to Catalyst and AQE.
 BROADCAST_ROWS = 200_000
 
+# application id -> folder, where the session names none
+_local_roots: dict[str, str] = {}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Pin what results depend on.
@@ -43,8 +46,9 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="txnflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _local_roots.get(app) or tempfile.mkdtemp(prefix="txnflow-")
+        _local_roots[app] = root
     return root.rstrip("/")
 
 
