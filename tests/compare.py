@@ -9,14 +9,19 @@ import time
 
 import duckdb
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
 
 
 def connect(sf_dir: str):
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
     for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+        path = f"{sf_dir}/{name}.parquet"
+        if os.path.exists(path):
+            path += "/*.parquet" if os.path.isdir(path) else ""
+            con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
     return con
 
 
