@@ -1,0 +1,62 @@
+"""Line dedup against a dictionary of owners."""
+
+import hashlib
+
+import pytest
+
+from tests.compare import connect, differences
+from tests.llm.brute import EDGE, docs_of, low, prose
+from txnflow.llm.line_dedup import LineRuns, dedup_lines, load_batch
+from txnflow.llm.queries import QUERIES
+from txnflow.llm.sql import SQL
+
+BLANK = " \t\n\x0b\x0c\r"
+LAST = 10**18
+
+
+def brute(rows):
+    holders = {}
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            holders.setdefault(low(line.strip(BLANK)), set()).add(LAST if i is None else i)
+    out = []
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        kept = [
+            x
+            for x in lines
+            if len(k := low(x.strip(BLANK))) < 10 or min(holders[k]) == (LAST if i is None else i)
+        ]
+        out.append((i, "\n".join(kept), len(lines), len(lines) - len(kept)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("batches", [1, 3, 9])
+def test_edge_cases(spark, batches):
+    got = dedup_lines(docs_of(spark, EDGE), batches=batches)
+    assert got.columns[0] == "doc_id" and "key" in got.columns
+    rows = [(r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in got.collect()]
+    assert sorted(rows, key=repr) == brute(EDGE)
+
+
+def test_empty_table(spark):
+    assert dedup_lines(docs_of(spark, [])).count() == 0
+
+
+def test_later_batches_meet_merged_runs(spark):
+    runs = LineRuns(spark, fanout=2)
+    lines = [prose(6, s) for s in range(8)]
+    for i in range(8):  # each batch repeats all lines of the earlier ones
+        lost = load_batch(runs, docs_of(spark, [(i, "\n".join(lines[: i + 1]))]))
+        assert sorted(r["at"] for r in lost.collect()) == list(range(i))
+    assert [len(level) for level in runs.levels] == [0, 0, 0, 1]
+    assert runs.stored().count() == 8
+
+
+def test_query_equals_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    got = QUERIES["op7_line_dedup"](spark, sf)
+    assert differences(got, connect(sf), SQL["op7_line_dedup"]) == []
+    whole = got.where("n_dropped = 0").first()
+    text = spark.read.parquet(f"{sf}/documents.parquet").where(f"doc_id = {whole['doc_id']}").first()["text"]
+    assert whole["kept_sha256"] == hashlib.sha256(text.encode()).hexdigest()
