@@ -6,13 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnflow.llm.common import table
+from txnflow.llm.decontaminate import contamination
 from txnflow.llm.line_dedup import dedup_lines
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256")
     )
 
 
-QUERIES = {"op7_line_dedup": op7_line_dedup}
+QUERIES = {
+    "op2_decontaminate": op2_decontaminate,
+    "op7_line_dedup": op7_line_dedup,
+}

@@ -20,7 +20,34 @@ SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost)
 FROM marked GROUP BY r, doc_id
 """
 
+_LETTER_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_SPACED_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def contamination_sql(documents: str = "documents", benchmark: str = "benchmark") -> str:
+    """(r, doc_id, text, n_words, n_hit, n_items, items, contaminated) by all windows of 13 words."""
+    words = f"regexp_extract_all({_LOW.format("coalesce(text, '')")}, '{_LETTER_WORD}')"
+    cut = "array_to_string(w[i:i + {n} - 1], ' ')"
+    return rf"""
+WITH src AS (SELECT row_number() OVER () AS r, doc_id, text, {words} AS w FROM {documents}),
+item AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {words} AS w FROM {benchmark}),
+win AS (SELECT DISTINCT item, least(len(w), 13) AS n, {cut.format(n="least(len(w), 13)")} AS win
+        FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM item WHERE len(w) > 0)),
+spot AS (SELECT r, i, n, {cut.format(n="n")} AS win
+       FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+             FROM src, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT DISTINCT r, i, n, item FROM spot JOIN win USING (n, win)),
+per AS (SELECT r, count(DISTINCT p) AS n_hit
+        FROM (SELECT r, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT r, i, n FROM hit)) GROUP BY r),
+its AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY r)
+SELECT r, doc_id, text, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items, '') AS items, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM src LEFT JOIN per USING (r) LEFT JOIN its USING (r)
+"""
+
 
 SQL = {
+    "op2_decontaminate": f"""
+SELECT doc_id, n_words, n_hit, n_items, sha256(items) AS items_sha256, contaminated FROM ({contamination_sql()})""",
     "op7_line_dedup": f"SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM ({line_dedup_sql()})",
 }
