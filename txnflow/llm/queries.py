@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from txnflow.llm.common import table
 from txnflow.llm.decontaminate import contamination
+from txnflow.llm.jaccard_join import similarity_components
 from txnflow.llm.line_dedup import dedup_lines
 
 
@@ -17,6 +18,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_components(table(spark, sf_dir, "documents")).drop("th")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256")
@@ -25,5 +30,6 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
+    "op3_jaccard_join": op3_jaccard_join,
     "op7_line_dedup": op7_line_dedup,
 }

@@ -46,8 +46,27 @@ FROM src LEFT JOIN per USING (r) LEFT JOIN its USING (r)
 """
 
 
+def jaccard_sql(documents: str = "documents") -> str:
+    """(r, doc_id, text, n_shingles, component_id) from all pairs that share a shingle."""
+    words = f"regexp_extract_all({_LOW.format("coalesce(text, '')")}, '{_SPACED_WORD}')"
+    return rf"""
+WITH RECURSIVE src AS (SELECT row_number() OVER () AS r, doc_id, text, {words} AS w FROM {documents}),
+shingle AS (SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS s
+            FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM src WHERE len(w) > 0)),
+size AS (SELECT r, count(*) AS n FROM shingle GROUP BY r),
+pair AS MATERIALIZED (SELECT a.r AS a, b.r AS b, count(*) AS k FROM shingle a JOIN shingle b ON a.s = b.s AND a.r < b.r GROUP BY 1, 2),
+link AS MATERIALIZED (SELECT a, b FROM pair JOIN size x ON x.r = a JOIN size y ON y.r = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+edge AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT r, r AS t FROM src UNION SELECT reach.r, edge.b FROM reach JOIN edge ON edge.a = reach.t),
+low AS (SELECT reach.r, min(doc_id) AS c FROM reach JOIN src ON src.r = reach.t GROUP BY reach.r)
+SELECT r, doc_id, text, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id
+FROM src LEFT JOIN size USING (r) LEFT JOIN low USING (r)
+"""
+
+
 SQL = {
     "op2_decontaminate": f"""
 SELECT doc_id, n_words, n_hit, n_items, sha256(items) AS items_sha256, contaminated FROM ({contamination_sql()})""",
+    "op3_jaccard_join": f"SELECT doc_id, n_shingles, component_id FROM ({jaccard_sql()})",
     "op7_line_dedup": f"SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM ({line_dedup_sql()})",
 }
