@@ -1,0 +1,105 @@
+"""The similarity join against all pairs of shingle sets, and its stages on groups that would blow up."""
+
+import random
+
+import pytest
+
+from tests.compare import connect, differences
+from tests.llm.brute import EDGE, SPACED, docs_of, low, prose
+from txnflow.llm import jaccard_join as J
+from txnflow.llm.components import components
+from txnflow.llm.queries import QUERIES
+from txnflow.llm.sql import SQL
+
+
+def sets(rows):
+    out = []
+    for _, text in rows:
+        w = SPACED.findall(low(text))
+        out.append({tuple(w[i : i + 4]) for i in range(max(len(w) - 3, 1))} if w else set())
+    return out
+
+
+def brute(rows):
+    s, root = sets(rows), list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if s[a] and s[b] and 100 * len(s[a] & s[b]) >= 85 * len(s[a] | s[b]):
+                root[find(a)] = find(b)
+    ids = {}
+    for x, (i, _) in enumerate(rows):
+        if i is not None:
+            ids[find(x)] = min(i, ids.get(find(x), i))
+    return sorted(((i, len(s[x]), ids.get(find(x))) for x, (i, _) in enumerate(rows)), key=repr)
+
+
+def near(text, changes, rng):
+    w = text.split()
+    for _ in range(changes):
+        w[rng.randrange(len(w))] = f"new{rng.randrange(10**6)}"
+    return " ".join(w)
+
+
+def corpus(n=60, seed=3):
+    rng, rows = random.Random(seed), list(EDGE)
+    bases = [prose(m, 40 + m) for m in (6, 7, 9, 10, 11, 30, 60, 120, 400)]
+    passage = prose(40, 77)
+    for i in range(n):
+        base = bases[i % len(bases)]
+        rows.append((100 + i, near(base, rng.randrange(4), rng)))
+        rows.append((1000 + i, passage + " " + prose(20 + 10 * (i % 9), 500 + i)))
+    return rows
+
+
+def result(df):
+    return sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in df.collect()), key=repr)
+
+
+def test_all_stages_give_the_components_of_all_pairs(spark, monkeypatch):
+    rows = corpus()
+    assert result(J.similarity_components(docs_of(spark, rows))) == brute(rows)
+    monkeypatch.setattr(J, "HOT_ROWS", 2)  # every repeated column comes last
+    monkeypatch.setattr(J, "FEW_PAIRS", 0)  # pivots as long as they help
+    assert result(J.similarity_components(docs_of(spark, rows))) == brute(rows)
+
+
+def test_near_copies_far_from_each_other_are_chained(spark):
+    w = prose(100, 9).split()
+    rows = [(i, " ".join([f"n{j}" for j in range(2 * i)] + w[2 * i :])) for i in range(12)]
+    got = result(J.similarity_components(docs_of(spark, rows)))
+    assert got == brute(rows) and {c for _, _, c in got} == {0}
+
+
+def test_one_document_of_each_component_stays(spark):
+    rows = corpus(20)
+    docs = docs_of(spark, rows)
+    kept = J.keep_one(docs)
+    assert kept.columns == docs.columns
+    parts = brute(rows)
+    want = sorted({(c if n else i) for i, n, c in parts if i is not None})
+    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted(
+        [*want, *[i for i, n, _ in parts if not n and [x for x, m, _ in parts].count(i) > 1 and i is not None][1:]]
+    )
+
+
+def test_empty_table(spark):
+    assert J.similarity_components(docs_of(spark, [])).count() == 0
+    assert J.keep_one(docs_of(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 40])
+def test_components_of_chains_and_stars(spark, n):
+    links = [(i, i + 1) for i in range(n)] + [(500, 500 + i) for i in range(1, n + 1)]
+    got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
+    assert got == {**{i: 0 for i in range(1, n + 1)}, **{500 + i: 500 for i in range(1, n + 1)}}
+
+
+def test_query_equals_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    assert differences(QUERIES["op3_jaccard_join"](spark, sf), connect(sf), SQL["op3_jaccard_join"]) == []

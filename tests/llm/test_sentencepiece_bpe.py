@@ -1,0 +1,77 @@
+"""Encoding and decoding against the library, text by text."""
+
+import hashlib
+import random
+
+import pytest
+import sentencepiece
+
+from tests.llm.brute import EDGE, docs_of
+from txnflow.llm.queries import QUERIES, piece_model
+from txnflow.llm.sentencepiece_bpe import Vocabulary, _encode_chunk, _Words, digests, encode
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=piece_model())
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    with open(piece_model(), "rb") as f:
+        return Vocabulary(f.read())
+
+
+def texts_of(library):
+    rng = random.Random(1)
+    letters = "aabbeeehhttt  \n.,▁é日本語0129<>_-\t 　👍🏽aaAAththe ing"
+    out = ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(5000)]
+    out += [" " * n + x for n in range(70) for x in ("", "a", "the  b", "\n")]
+    out += ["a" * n for n in range(100)] + ["ab" * n for n in range(100)] + ["-" * n for n in range(100)]
+    pieces = [library.id_to_piece(i) for i in range(259, library.get_piece_size())]
+    out += ["".join(rng.choice(pieces) for _ in range(3)) for _ in range(20000)]
+    return out + ["\x00\x7f", "x" * 5000, "é" * 300, " " * 30000, "日" * 1000, "=-" * 500, "<s></s><0x41>", "\n" * 99]
+
+
+def test_ids_and_texts_equal_the_library(library, vocabulary):
+    texts = texts_of(library)
+    ids, counts, decoded = _encode_chunk(_Words(vocabulary), texts)
+    at = 0
+    for text, n, back in zip(texts, counts.tolist(), decoded):
+        want = library.encode(text, add_eos=True)
+        assert ids[at : at + n].tolist() == want, text
+        assert back == library.decode(want), text
+        assert vocabulary.decode(want) == back
+        at += n
+
+
+def test_forgetting_words_changes_nothing(library, vocabulary, monkeypatch):
+    monkeypatch.setattr("txnflow.llm.sentencepiece_bpe.KEPT_WORDS", 3)
+    cache = _Words(vocabulary)
+    for text in ["the cat sat on the mat", "on the mat sat", "the cat"]:
+        assert _encode_chunk(cache, [text])[0].tolist() == library.encode(text, add_eos=True)
+        cache.trim()
+
+
+def test_edge_rows_and_columns(spark, library):
+    docs = docs_of(spark, EDGE)
+    got = encode(docs, piece_model())
+    assert got.columns == [*docs.columns, "ids", "decoded"]
+    want = sorted(((i, t, library.encode(t or "", add_eos=True)) for i, t in EDGE), key=repr)
+    assert sorted(((r["doc_id"], r["text"], list(r["ids"])) for r in got.collect()), key=repr) == want
+    assert encode(docs_of(spark, []), piece_model()).count() == 0
+    again = encode(got.withColumn("_x", got["doc_id"]), piece_model())  # its own columns in the input
+    assert again.count() == len(EDGE)
+
+
+def test_query_digests(spark, library):
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = QUERIES["op9_sentencepiece"](spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode(texts[r["doc_id"]], add_eos=True)
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+    assert digests(encode(docs_of(spark, []), piece_model())).count() == 0

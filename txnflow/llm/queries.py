@@ -9,6 +9,15 @@ from txnflow.llm.common import table
 from txnflow.llm.decontaminate import contamination
 from txnflow.llm.jaccard_join import similarity_components
 from txnflow.llm.line_dedup import dedup_lines
+from txnflow.llm.sentencepiece_bpe import digests, encode
+
+
+def piece_model() -> str:
+    """The given vocabulary file; the operator takes any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,8 +37,13 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(encode(table(spark, sf_dir, "documents"), piece_model()))
+
+
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_jaccard_join": op3_jaccard_join,
     "op7_line_dedup": op7_line_dedup,
+    "op9_sentencepiece": op9_sentencepiece,
 }
