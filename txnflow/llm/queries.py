@@ -9,6 +9,7 @@ from txnflow.llm.common import table
 from txnflow.llm.decontaminate import contamination
 from txnflow.llm.jaccard_join import similarity_components
 from txnflow.llm.line_dedup import dedup_lines
+from txnflow.llm.quality_rules import judged
 from txnflow.llm.sentencepiece_bpe import digests, encode
 
 
@@ -31,6 +32,12 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_components(table(spark, sf_dir, "documents")).drop("th")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256")
@@ -44,6 +51,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_jaccard_join": op3_jaccard_join,
+    "op5_quality_rules": op5_quality_rules,
     "op7_line_dedup": op7_line_dedup,
     "op9_sentencepiece": op9_sentencepiece,
 }

@@ -64,9 +64,48 @@ FROM src LEFT JOIN size USING (r) LEFT JOIN low USING (r)
 """
 
 
+def quality_sql(documents: str = "documents", labels: str = "labels") -> str:
+    """(r, doc_id, text, lang, counts, base_failed, kept); thresholds by the exact binomial tail."""
+    return rf"""
+WITH src AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS lang, text, coalesce(text, '') AS t FROM {documents}),
+cut AS (SELECT *, regexp_extract_all(t, '{_SPACED_WORD}') AS w,
+               list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_SPACED_WORD}')) AS l FROM src),
+win AS (SELECT r, i, array_to_string(w[i:i + 4], chr(1)) AS g FROM
+        (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM cut WHERE len(w) >= 5)),
+twice AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS k FROM win),
+rep AS (SELECT r, count(DISTINCT p) AS n_repeat_words
+        FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM twice WHERE k > 1) GROUP BY r),
+f AS (SELECT r, doc_id, lang, text, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+             len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+             length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_capitals, len(l) AS n_lines
+      FROM cut LEFT JOIN rep USING (r)),
+based AS MATERIALIZED (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f),
+score AS (SELECT r, doc_id, lang, base_failed, rule, CASE WHEN d > 0 THEN least(1000, 1000 * c // d) ELSE 0 END AS s
+          FROM (SELECT *, unnest(['symbols', 'capitals', 'repeated', 'lines']) AS rule,
+                       unnest([n_symbols, n_capitals, n_repeat_words, n_dup_lines]) AS c,
+                       unnest([word_chars, word_chars, n_words, n_lines]) AS d FROM based)),
+lab AS (SELECT doc_id, min(quality) AS q FROM {labels} GROUP BY doc_id),
+hist AS (SELECT lang, rule, s, sum(q) AS g, sum(1 - q) AS b FROM score JOIN lab USING (doc_id)
+         WHERE NOT base_failed AND q IN (0, 1) GROUP BY ALL),
+cum AS (SELECT lang, rule, s, sum(g) OVER (PARTITION BY lang, rule) AS n,
+               sum(g) OVER (PARTITION BY lang, rule ORDER BY s DESC) AS k,
+               sum(b) OVER (PARTITION BY lang, rule ORDER BY s DESC) AS b FROM hist),
+tail AS (SELECT *, CASE WHEN k >= 0.005 * n THEN 1 ELSE list_sum(list_transform(range(0, k::BIGINT + 1),
+           lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.005) + (n - i) * ln(0.995)))) END AS p
+         FROM cum WHERE s > 0),
+lim AS (SELECT lang, rule, arg_max(s, (b - 10 * k) * 10000 + s) AS t FROM tail
+        WHERE p <= 0.05 / (4 * (SELECT count(DISTINCT lang) FROM hist)) AND b - 10 * k > 0 GROUP BY lang, rule),
+broke AS (SELECT DISTINCT r FROM score JOIN lim USING (lang, rule) WHERE s >= t)
+SELECT based.*, NOT base_failed AND broke.r IS NULL AS kept FROM based LEFT JOIN broke USING (r)
+"""
+
+
 SQL = {
     "op2_decontaminate": f"""
 SELECT doc_id, n_words, n_hit, n_items, sha256(items) AS items_sha256, contaminated FROM ({contamination_sql()})""",
     "op3_jaccard_join": f"SELECT doc_id, n_shingles, component_id FROM ({jaccard_sql()})",
+    "op5_quality_rules": f"""
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM ({quality_sql()})""",
     "op7_line_dedup": f"SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM ({line_dedup_sql()})",
 }
