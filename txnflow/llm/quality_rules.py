@@ -193,4 +193,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> Data
     """
     measured = store(features(docs.select("doc_id", stratum, "text")).drop("text"), "measured")
     limits = thresholds(holdout(measured, labels), stratum)
-    return judge(features(docs), limits, stratum).where("kept").select(*docs.columns)
+    whole = docs.select("doc_id", stratum, "text", F.struct(*docs.columns).alias("_doc"))
+    return judge(features(whole), limits, stratum).where("kept").select("_doc.*")
