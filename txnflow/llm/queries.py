@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from txnflow.llm.common import table
 from txnflow.llm.decontaminate import contamination
+from txnflow.llm.html_text import extract_text
 from txnflow.llm.jaccard_join import similarity_components
 from txnflow.llm.line_dedup import dedup_lines
 from txnflow.llm.quality_rules import judged
+from txnflow.llm.secrets_scan import BASE_KINDS, find_secrets, span_list
 from txnflow.llm.sentencepiece_bpe import digests, encode
+from txnflow.llm.url_filter import judge_urls
 
 
 def piece_model() -> str:
@@ -21,6 +24,14 @@ def piece_model() -> str:
 
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    of = lambda kinds: F.filter("secrets", lambda s: s["kind"].isin(kinds))
+    counts = [F.size(of([k])).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    base = F.sha2(span_list(of(BASE_KINDS)), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, span_list(F.col("secrets")).alias("spans"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select(
@@ -32,6 +43,12 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_components(table(spark, sf_dir, "documents")).drop("th")
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
+    counts = [F.size(f"{k}_terms").cast("long").alias(f"n_{k}") for k in ("strict", "soft")]
+    return out.select("page_id", "host", "path", "rule", "verdict", *counts)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -48,10 +65,18 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode(table(spark, sf_dir, "documents"), piece_model()))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extract_text(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_decontaminate": op2_decontaminate,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_url_filter": op4_url_filter,
     "op5_quality_rules": op5_quality_rules,
     "op7_line_dedup": op7_line_dedup,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_html_text": op10_html_text,
 }

@@ -100,8 +100,27 @@ broke AS (SELECT DISTINCT r FROM score JOIN lim USING (lang, rule) WHERE s >= t)
 SELECT based.*, NOT base_failed AND broke.r IS NULL AS kept FROM based LEFT JOIN broke USING (r)
 """
 
+_HOST = _LOW.format(r"regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1)")
+_PATH = r"regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+_STRICT = "['casino', 'porn', 'xxx', 'viagra', 'warez', 'escort', 'malware', 'phishing']"
+_SOFT = "['adult', 'ads', 'bet', 'bets', 'cheap', 'click', 'farm', 'free', 'pills', 'promo', 'spam', 'track', 'win', 'x']"
+_FOUND = "len(list_filter({}, lambda t: regexp_matches(low, '(^|[^a-z0-9])' || t || '([^a-z0-9]|$)')))"
+URL_SQL = rf"""
+WITH p AS (SELECT page_id, coalesce(url, '') AS u FROM pages),
+q AS (SELECT page_id, {_LOW.format("u")} AS low, {_HOST} AS host, {_PATH} AS path FROM p),
+r AS (SELECT *, {_FOUND.format(_STRICT)} AS n_strict, {_FOUND.format(_SOFT)} AS n_soft,
+             CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+                  WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+                  WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+                  WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM q)
+SELECT page_id, host, path, rule, n_strict, n_soft,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN 2 * n_strict + n_soft >= 2 THEN 'block' ELSE 'allow' END AS verdict FROM r
+"""
+
 
 SQL = {
+    "op4_url_filter": URL_SQL,
     "op2_decontaminate": f"""
 SELECT doc_id, n_words, n_hit, n_items, sha256(items) AS items_sha256, contaminated FROM ({contamination_sql()})""",
     "op3_jaccard_join": f"SELECT doc_id, n_shingles, component_id FROM ({jaccard_sql()})",
