@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnflow.llm.chat_format import digests as chat_digests
+from txnflow.llm.chat_format import format_conversations, read_back, text_parts
 from txnflow.llm.common import table
 from txnflow.llm.decontaminate import contamination
 from txnflow.llm.html_text import extract_text
 from txnflow.llm.jaccard_join import similarity_components
+from txnflow.llm.license_scan import scan_licenses
 from txnflow.llm.line_dedup import dedup_lines
 from txnflow.llm.quality_rules import judged
 from txnflow.llm.secrets_scan import BASE_KINDS, find_secrets, span_list
@@ -55,12 +58,38 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    labels = lambda c: F.array_join(F.sort_array(F.array_distinct(c)), ",")
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        F.size("starts").cast("long").alias("n_base"),
+        F.array_min("starts").cast("long").alias("first_word"),
+        F.array_max("starts").cast("long").alias("last_word"),
+        labels(F.col("base")).alias("base_labels"),
+        labels(F.concat("base", "templates")).alias("labels"),
+        "score",
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256")
     )
 
 
+#: A conversation that holds control strings, beside those of the table.
+CONTROL_TURNS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.union(spark.createDataFrame(CONTROL_TURNS, turns.schema))
+    turns = turns.select("conv_id", "turn", "role", text_parts(F.col("text")).alias("parts"))
+    return chat_digests(read_back(format_conversations(turns)))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode(table(spark, sf_dir, "documents"), piece_model()))
 
@@ -76,7 +105,9 @@ QUERIES = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_url_filter": op4_url_filter,
     "op5_quality_rules": op5_quality_rules,
+    "op6_license_scan": op6_license_scan,
     "op7_line_dedup": op7_line_dedup,
+    "op8_chat_format": op8_chat_format,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_html_text": op10_html_text,
 }

@@ -118,8 +118,57 @@ SELECT page_id, host, path, rule, n_strict, n_soft,
             WHEN 2 * n_strict + n_soft >= 2 THEN 'block' ELSE 'allow' END AS verdict FROM r
 """
 
+_NOTICES = """(VALUES
+ ('agpl-3.0', 'it under the terms of the gnu affero general public license as published by the free software foundation'),
+ ('apache-2.0', 'licensed under the apache license version 2 0'),
+ ('bsd', 'redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met'),
+ ('cc-by-nc-4.0', 'licensed under cc by nc 4 0'),
+ ('gpl-3.0', 'licensed under the gnu general public license version 3'),
+ ('gpl-notice', 'this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation'),
+ ('isc', 'permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted'),
+ ('mit-notice', 'released under the mit license'),
+ ('mit-text', 'permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files'),
+ ('mpl-2.0', 'this source code form is subject to the terms of the mozilla public license v 2 0')) n (label, t)"""
+_PHRASES = """(VALUES ('gnu general public license', 'gpl'), ('apache license', 'apache'), ('cc by', 'cc-by'), ('mit license', 'mit')) n (t, label)"""
+LICENSE_SQL = rf"""
+WITH src AS (SELECT row_number() OVER () AS r, doc_id,
+                    regexp_extract_all({_LOW.format("coalesce(text, '')")}, '{_LETTER_WORD}') AS w FROM documents),
+spot AS (SELECT r, w, unnest(range(0, len(w))) AS p FROM src),
+phrase AS (SELECT string_split(t, ' ') AS ph, label FROM {_PHRASES}),
+base AS (SELECT r, p, label FROM spot, phrase WHERE w[p + 1:p + len(ph)] = ph),
+per AS (SELECT r, count(*) AS n, min(p) AS lo, max(p) AS hi, list(DISTINCT label) AS ls FROM base GROUP BY r),
+notice AS (SELECT label, string_split(t, ' ') AS nw FROM {_NOTICES}),
+mark AS (SELECT label, len(nw) - 2 AS size, q, nw[q + 1:q + 3] AS g FROM (SELECT *, unnest(range(0, len(nw) - 2)) AS q FROM notice)),
+hit AS (SELECT r, label, size, p, q, p - q AS diag FROM spot JOIN mark ON w[p + 1:p + 3] = g),
+vote AS (SELECT r, label, size, diag, min(p) AS lo, max(p) AS hi, list(q) AS qs FROM hit GROUP BY ALL),
+fresh AS (SELECT *, coalesce((diag - lag(diag) OVER (PARTITION BY r, label ORDER BY diag) > 3)::INT, 1) AS f FROM vote),
+grp AS (SELECT *, sum(f) OVER (PARTITION BY r, label ORDER BY diag) AS s FROM fresh),
+span AS (SELECT r, label, size, min(lo) AS a, max(hi) + 2 AS b, len(list_distinct(flatten(list(qs)))) AS met FROM grp GROUP BY r, label, size, s),
+good AS (SELECT r, list(DISTINCT label) AS ls, max(met / size) AS score FROM span
+         WHERE met >= 0.6 * size AND b - a + 1 <= 1.5 * (size + 2) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, lo AS first_word, hi AS last_word,
+       coalesce(array_to_string(list_sort(per.ls), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(per.ls, good.ls))), ','), '') AS labels,
+       coalesce(score, 0) AS score
+FROM src LEFT JOIN per USING (r) LEFT JOIN good USING (r)
+"""
+
+_ESCAPED = r"length(regexp_replace({}, '([<\[\\])', '\1\\', 'g'))"
+CHAT_SQL = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(32 + {_ESCAPED.format("role")} + {_ESCAPED.format("text")})::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
 
 SQL = {
+    "op6_license_scan": LICENSE_SQL,
+    "op8_chat_format": CHAT_SQL,
     "op4_url_filter": URL_SQL,
     "op2_decontaminate": f"""
 SELECT doc_id, n_words, n_hit, n_items, sha256(items) AS items_sha256, contaminated FROM ({contamination_sql()})""",
