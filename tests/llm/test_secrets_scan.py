@@ -1,0 +1,101 @@
+"""Base spans against plain patterns, and structures that hold or break."""
+
+import base64
+import hashlib
+import json
+import re
+
+from tests.llm.brute import EDGE, docs_of
+from txnflow.llm import secrets_scan as S
+from txnflow.llm.queries import QUERIES
+
+ASSIGN = re.compile(
+    r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"""
+    r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+
+
+def base(text):
+    out = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    out += [("access", *m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    out += [("hex", *m.span()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(out, key=lambda s: (s[1], S.KINDS.index(s[0])))
+
+
+def der(tag, *parts):
+    body = b"".join(parts)
+    n = len(body)
+    size = bytes([n]) if n < 128 else bytes([0x81, n]) if n < 256 else bytes([0x82, n >> 8, n & 255])
+    return bytes([tag]) + size + body
+
+
+INT = [der(2, bytes([1] * k)) for k in range(1, 40)]
+RSA = der(0x30, der(2, b"\0"), *INT[20:28])
+PKCS8 = der(0x30, der(2, b"\0"), der(0x30, der(6, b"\x2a\x86\x48"), der(5)), der(4, RSA))
+SEC1 = der(0x30, der(2, b"\1"), der(4, b"k" * 32), der(0xA0, der(6, b"\x2a\x86\x48")))
+string = lambda b: len(b).to_bytes(4, "big") + b
+SSH = b"openssh-key-v1\0" + string(b"none") + string(b"none") + string(b"") + (1).to_bytes(4, "big") + string(b"pub" * 9) + string(b"x" * 50)
+b64 = lambda b: base64.b64encode(b).decode()
+url64 = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
+TOKEN = f"{url64({'alg': 'HS256', 'typ': 'JWT'})}.{url64({'sub': '1'})}.{'s' * 43}"
+
+
+def kinds(text):
+    return [k for k, _, _ in S.spans_of(text) if k not in S.BASE_KINDS]
+
+
+def test_structures_that_hold():
+    for key in (RSA, PKCS8, SEC1):
+        assert kinds(f"é key {b64(key)} end") == ["der"]
+        assert kinds(f"hex {key.hex().upper()} end") == ["der"]
+        assert kinds(f"-----BEGIN PRIVATE KEY-----\n{b64(key)[:40]}\n{b64(key)[40:]}\n-----END PRIVATE KEY-----") == ["der"]
+    assert kinds(b64(SSH)) == ["openssh"]
+    assert kinds(f"Bearer {TOKEN}, next") == ["token"]
+    text = f"é {TOKEN}"
+    assert [text[a:b] for k, a, b in S.spans_of(text) if k == "token"] == [TOKEN]
+
+
+def test_structures_that_break():
+    for key in (RSA, PKCS8, SEC1):
+        for bad in (key[:-1], key + b"\0", key[:1] + bytes([key[1] ^ 1]) + key[2:]):
+            assert kinds(b64(bad)) == []
+    assert kinds(b64(der(0x30, der(4, b"k" * 40)))) == [] and kinds(b64(SSH[:-1])) == [] and kinds(b64(SSH + b"x")) == []
+    assert kinds(TOKEN.replace(".", "..", 1)) == [] and kinds("M" * 400) == [] and kinds("eyJhbGciOiJIUzI1NiJ9.e30.short") == []
+    deep = b"\x05\x00"
+    for _ in range(60):
+        deep = der(0x30, deep)
+    assert kinds(b64(deep)) == []
+
+
+TEXTS = EDGE + [
+    (50, 'Password = "hunter2hunter2" TOKEN:short api_key=\'abcdefgh\' apikey: secret=token=abcdefgh'),
+    (51, "AKIAAKIA12345678 AKIASHORT AKIA" + "A" * 12 + " ſecret=abcdefghij toKen=abcdefghij"),
+    (52, "a" * 31 + " " + "f" * 32 + "0123456789abcdef" * 3 + "é" + "0" * 40),
+    (53, f"password={b64(PKCS8)} {TOKEN}"),
+    (54, "secret " * 20000 + "= x"),
+    (55, "0" * 100000 + "password=" + "z" * 100000),
+]
+
+
+def test_base_spans_and_rows(spark):
+    got = S.find_secrets(docs_of(spark, TEXTS))
+    assert "key" in got.columns and got.count() == len(TEXTS)
+    rows = sorted(
+        ((r["doc_id"], [(s["kind"], s["start"], s["end"]) for s in r["secrets"] if s["kind"] in S.BASE_KINDS]) for r in got.collect()),
+        key=repr,
+    )
+    assert rows == sorted(((i, base(t or "")) for i, t in TEXTS), key=repr)
+    assert S.find_secrets(docs_of(spark, [])).count() == 0
+
+
+def test_query_digests(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = QUERIES["op1_secret_scan"](spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        spans = base(texts[r["doc_id"]] or "")
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r[f"n_{k}"] for k in S.BASE_KINDS] == [sum(s[0] == k for s in spans) for k in S.BASE_KINDS]
+        assert set(joined.split(",")) <= set(r["spans"].split(","))
