@@ -168,3 +168,17 @@ def test_validation_is_one_stage_without_python(spark):
     assert "Exchange" not in plan and "Python" not in plan
     # the barrier keeps the validation out of the filter
     assert plan.index("Filter") < plan.index("Generate") and "from_json" not in plan[: plan.index("Generate")]
+
+
+def test_two_objects_in_one_text_are_malformed_and_repeated_members_keep_the_last(spark):
+    from txnflow.operators.validate import attach_errors
+
+    one = record()
+    nested = one[:-1] + ', "more": {"a": {"b": 1}}}'
+    twice = one[:-1] + ', "extra": 1, "extra": 2, "zip": "x"}'
+    two = [one + one, one + " " + one, one + "," + one, one + "],[" + one, one + ',"z":' + one]
+    df = spark.createDataFrame([(t,) for t in [one, nested, twice, *two]], "value string")
+    rows = validate_and_route(df).collect()
+    assert [r["route"] for r in rows] == ["clean", "clean", "invalid", *["malformed"] * len(two)]
+    payload = attach_errors(validate_and_route(df).filter("route = 'invalid'")).first()["payload"]
+    assert '"extra":2' in payload and '"extra":1' not in payload and '"errors":[' in payload

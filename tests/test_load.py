@@ -284,12 +284,9 @@ def test_returning_gives_the_new_ids(spark):
     assert returning(N.load_category(rows)).columns == ["id"]
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_rows_in_reach_decide_like_the_whole_table(spark, monkeypatch, few):
-    from txnflow import session
+def test_rows_in_reach_decide_like_the_whole_table(spark):
     from txnflow.operators import insert
 
-    monkeypatch.setattr(insert, "small_side", lambda df: session.small_side(df, 1000 if few else 0))
     rng = random.Random(5)
     schema = "id long, u long, n long"
     some = lambda n, top: spark.createDataFrame([(rng.randrange(top), rng.randrange(top), i) for i in range(n)], schema)
@@ -299,3 +296,14 @@ def test_rows_in_reach_decide_like_the_whole_table(spark, monkeypatch, few):
     assert rows_of(insert_ignore(near, incoming, key_sets, ["n"])) == rows_of(
         insert_ignore(target, incoming, key_sets, ["n"])
     )
+
+
+def test_any_amount_loads_and_close_facts_stay_apart(spark):
+    root = new_folder(spark, "amounts")
+    amounts = [1e10, 1e12, 12345678901.5, float("nan"), float("inf"), 4.971, 4.974]
+    rows = [txn(1) | {"amt": a} for a in amounts]
+    load_batch(records(spark, rows), root, "a-0")
+    kept = read_table(spark, root, "transactions").count()
+    aside = scan_staging(spark, root, "a-0", accepted=False).collect()
+    assert kept + len(aside) == len(amounts)
+    assert all(v.endswith(":amount") for r in aside for v in r["violated"])

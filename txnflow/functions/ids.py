@@ -58,12 +58,13 @@ def joined(parts: Sequence[Column], sep: str | None = None) -> Column:
 
 
 def timestamp_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    """The whole timestamp, fractions of a second included."""
+    return ts.cast("string")
 
 
-def amount_text(amount: Column, exact_double: bool = False) -> Column:
-    """Two-decimal text by default; the shortest double text as an option."""
-    return amount.cast("string") if exact_double else amount.cast("decimal(12,2)").cast("string")
+def amount_text(amount: Column) -> Column:
+    """The shortest text that gives the same double; any amount has one, infinity and NaN too."""
+    return amount.cast("string")
 
 
 _SQL_BODY = """

@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Microseconds of a timestamp fit into 64 bits up to here.
+MAX_UNIX_SECONDS = 9_223_372_036_854
+
 def comma_pair(a: Column, b: Column) -> Column:
     """``a, b`` as text: coordinates, full names."""
     return F.concat(a.cast("string"), F.lit(", "), b.cast("string"))
@@ -21,7 +24,9 @@ def iso_date(c: Column) -> Column:
 
 
 def unix_to_ts(c: Column) -> Column:
-    return F.timestamp_seconds(c.try_cast("bigint"))
+    """NULL for what is no whole number, or beyond the range of a timestamp."""
+    seconds = c.try_cast("bigint")
+    return F.when(F.abs(seconds) < MAX_UNIX_SECONDS, F.timestamp_seconds(seconds))
 
 
 def millis_text(ms: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnflow.schema import ID_COLUMNS, MAX_LENGTHS, RANGES, REQUIRED
-from txnflow.session import BROADCAST_ROWS, all_of, cut, small_side
+from txnflow.session import all_of, stored
 
 
 def in_range(ranges: Mapping[str, tuple[float, float]] = RANGES) -> Column:
@@ -65,11 +65,11 @@ def orphan_keys(child: DataFrame, fk: str, parent: DataFrame) -> DataFrame:
     return keys.join(parent.select(F.col("id").alias(fk)), fk, "left_anti")
 
 
-def check_reference(child: DataFrame, fk: str, parent: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def check_reference(child: DataFrame, fk: str, parent: DataFrame) -> DataFrame:
     """Child rows whose foreign key has no parent.
 
-    The orphan keys are stored and counted; a small set is broadcast, so that
-    the child is not shuffled at all. A large one is joined by shuffle, where
+    The orphan keys are stored; Spark broadcasts a set of few bytes, so that
+    the child is not shuffled at all, and joins a large one by shuffle, where
     AQE splits hot keys.
     """
-    return child.join(small_side(cut(orphan_keys(child, fk, parent)), max_rows), fk, "left_semi").select(*child.columns)
+    return child.join(stored(orphan_keys(child, fk, parent)), fk, "left_semi").select(*child.columns)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.session import all_of, cut, small_side
+from txnflow.session import all_of, cut, stored
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -25,18 +25,18 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     return firsts.select(*keys, "_first.*").select(*df.columns)
 
 
-def _anti(rows: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows.join(stored.select(*keys), list(keys), "left_anti")
+def _anti(rows: DataFrame, present: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.join(present.select(*keys), list(keys), "left_anti")
 
 
 def in_reach(target: DataFrame, incoming: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFrame:
     """The rows of ``target`` that share a key with ``incoming``; a row may occur once per key set.
 
-    All an insert needs of a large table when little comes in: with few
-    incoming keys they are broadcast and the table is scanned where it lies.
-    ``incoming`` should be stored, as its keys are counted.
+    All an insert needs of a large table when little comes in: the incoming
+    keys are stored, and where they are few Spark broadcasts them and scans the
+    table where it lies.
     """
-    hits = [target.join(small_side(incoming.select(*keys).distinct()), list(keys), "left_semi") for keys in key_sets]
+    hits = [target.join(stored(incoming.select(*keys).distinct()), list(keys), "left_semi") for keys in key_sets]
     return reduce(DataFrame.unionByName, [h.select(*target.columns) for h in hits])
 
 
@@ -93,7 +93,7 @@ def insert_ignore(
 
 def returning(delta: DataFrame) -> DataFrame:
     """The ids added by an insert, as a stored relation for later steps."""
-    return cut(delta.select("id"))
+    return stored(delta.select("id"), "returned")
 
 
 def append(target: DataFrame, delta: DataFrame) -> DataFrame:

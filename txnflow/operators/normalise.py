@@ -21,7 +21,8 @@ from txnflow.operators.insert import first_per_key, in_reach, insert_ignore, ret
 from txnflow.operators.joins import gated_by, known_only, not_stored
 from txnflow.operators.project import project_entity
 from txnflow.schema import ID_COLUMNS, STAGING_COLUMNS, TABLES
-from txnflow.session import cut, small_side
+from txnflow.session import cut
+from txnflow.session import stored as store
 
 Stored = Mapping[str, DataFrame]
 
@@ -181,17 +182,15 @@ def load_tables(
     }
     if mode == "complete":
         new["customer"] = load_customer(buyers, stored)
-        refused = cut(refused_customers(buyers, stored, new["customer"]))
-        new["transactions"] = load_transactions(
-            staging, stored, refused=None if refused.isEmpty() else small_side(refused)
-        )
+        refused = store(refused_customers(buyers, stored, new["customer"]))
+        new["transactions"] = load_transactions(staging, stored, refused=None if refused.isEmpty() else refused)
     elif grain == "batch":
-        new["customer"] = load_customer(buyers, stored, small_side(returning(new["address"])))
+        new["customer"] = load_customer(buyers, stored, returning(new["address"]))
         new["transactions"] = load_transactions(
             staging,
             stored,
-            new_customers=small_side(returning(new["customer"])),
-            new_bridges=small_side(returning(new["merchant_category"])),
+            new_customers=returning(new["customer"]),
+            new_bridges=returning(new["merchant_category"]),
         )
     else:
         new["customer"], new["transactions"] = gate_by_row(staging, stored)
@@ -201,8 +200,3 @@ def load_tables(
 def with_audit(df: DataFrame) -> DataFrame:
     now = F.current_timestamp()
     return df.withColumns({"created_at": now, "updated_at": now})
-
-
-def named_ids(staging: DataFrame) -> DataFrame:
-    """Rows in which no id is NULL."""
-    return staging.dropna(subset=ID_COLUMNS)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnflow.operators.constraints import check_unique
-from txnflow.session import BROADCAST_ROWS, cut, small_side
+from txnflow.session import stored
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], approximate: bool = False) -> DataFrame:
@@ -31,15 +31,15 @@ def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols).distinct()
 
 
-def duplicated_rows(df: DataFrame, keys: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def duplicated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows whose key occurs more than once.
 
-    The repeated keys are counted with map-side combine and stored. A small set
-    is broadcast and the rows stay where they are; a large one is joined by
-    shuffle, where AQE splits hot keys. NULL keys are equal to each other.
+    The repeated keys are counted with map-side combine and stored. Spark
+    broadcasts a set of few bytes, and the rows stay where they are; a large
+    one is joined by shuffle, where AQE splits hot keys. NULL keys are equal to each other.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    repeated = small_side(cut(counted.select(*[F.col(k).alias(f"_{k}") for k in keys])), max_rows)
+    repeated = stored(counted.select(*[F.col(k).alias(f"_{k}") for k in keys]))
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))

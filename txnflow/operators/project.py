@@ -13,9 +13,7 @@ from txnflow.schema import STAGING_COLUMNS, TABLES
 from txnflow.session import require_utc
 
 
-def create_id_cols(
-    records: DataFrame, sep: str | None = None, null_as_text: bool = False, exact_double: bool = False
-) -> DataFrame:
+def create_id_cols(records: DataFrame, sep: str | None = None, null_as_text: bool = False) -> DataFrame:
     """Add the seven id columns in one projection.
 
     Ids are pure functions of the record, so no later step needs a join to look
@@ -35,9 +33,7 @@ def create_id_cols(
             "merchant_id": hashed(c("merchant")),
             "category_id": hashed(c("category")),
             "merchant_category_id": hashed(c("merchant"), c("category")),
-            "transaction_id": hashed(
-                c("trans_num"), timestamp_text(c("trans_date_trans_time")), amount_text(c("amt"), exact_double)
-            ),
+            "transaction_id": hashed(c("trans_num"), timestamp_text(c("trans_date_trans_time")), amount_text(c("amt"))),
         }
     )
 

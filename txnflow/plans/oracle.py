@@ -49,8 +49,7 @@ _NAMES = {
     "merchant_id": "merchant",
     "category_id": "category",
     "merchant_category_id": "merchant || category",
-    "transaction_id": "trans_num || strftime(trans_date_trans_time, '%Y-%m-%d %H:%M:%S')"
-    " || CAST(CAST(amt AS DECIMAL(12,2)) AS VARCHAR)",
+    "transaction_id": "trans_num || CAST(CAST(trans_date_trans_time AS TIMESTAMP) AS VARCHAR) || CAST(amt AS VARCHAR)",
 }
 
 
@@ -119,6 +118,13 @@ _TEXTS = {
     "trans_date_trans_time": "strftime(trans_date_trans_time, '%Y-%m-%d %H:%M:%S')",
     "is_fraud": "CASE WHEN is_fraud THEN '1' ELSE '0' END",
 }
+_CLOSE_PAIRS = f"""{FEED},
+once AS (SELECT * REPLACE (CAST(trans_date_trans_time AS TIMESTAMP) AS trans_date_trans_time) FROM feed WHERE NOT is_fraud),
+clean AS (SELECT * FROM once
+          UNION ALL SELECT * REPLACE (trans_date_trans_time + INTERVAL 500 MILLISECOND AS trans_date_trans_time) FROM once
+          UNION ALL SELECT * REPLACE (round(amt + 0.004, 3) AS amt) FROM once),
+{_ids('clean')}, staging AS ({_STAGING_SELECT})"""
+
 _text_cols = ", ".join(f"{_TEXTS.get(n, f'CAST({n} AS VARCHAR)')} AS {n}" for n in FIELD_NAMES)
 
 
@@ -285,7 +291,11 @@ ORACLE: dict[str, str] = {
             FROM (SELECT value, {_error_list} AS l FROM routed WHERE route = 'invalid')""",
     ),
     "malformed": _with(DIRTY, "SELECT value, true AS malformed FROM marked WHERE malformed"),
-    "route_store": _with(ROUTED, "SELECT route, x_trans_num AS trans_num FROM routed"),
+    "route_store": _with(
+        ROUTED,
+        """SELECT route, x_trans_num AS trans_num, x_merchant AS merchant, NULL AS text FROM routed
+           UNION ALL SELECT 'malformed', NULL, NULL, value FROM marked WHERE malformed""",
+    ),
     "json_objects": _with(
         FEED,
         """SELECT trans_num, amt, strftime(trans_date_trans_time, '%Y%m%d') AS dt,
@@ -331,6 +341,7 @@ ORACLE: dict[str, str] = {
     ),
     **{f"dim_{name}": _with(STAGING, _first(*spec)) for name, spec in _DIMS.items()},
     "fact": _with(STAGING, _FACT),
+    "fact_close_pairs": _with(_CLOSE_PAIRS, _FACT),
     "first_city": _with(
         STAGING,
         _first(

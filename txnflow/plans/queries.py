@@ -177,13 +177,21 @@ def route_store(spark, sf):
     """Every route written in one pass, then read back route by route."""
     root = new_folder(spark, "routed")
     route_sinks(_routed(spark, sf), root, "one", at=F.lit("2024-01-01 05:00:00").cast("timestamp"))
-    stored = [
+    kept = [
         read_route(spark, root, r).select(
-            F.lit(r).alias("route"), F.get_json_object("value", "$.trans_num").alias("trans_num")
+            F.lit(r).alias("route"),
+            F.get_json_object("value", "$.trans_num").alias("trans_num"),
+            F.get_json_object("value", "$.merchant").alias("merchant"),
+            F.lit(None).cast("string").alias("text"),
         )
-        for r in V.ROUTES[:3]
+        for r in V.ROUTES
+        if r != "malformed"
     ]
-    return stored[0].union(stored[1]).union(stored[2])
+    none = F.lit(None).cast("string")
+    broken = read_route(spark, root, "malformed").select(
+        F.lit("malformed").alias("route"), none.alias("trans_num"), none.alias("merchant"), F.col("value").alias("text")
+    )
+    return kept[0].union(kept[1]).union(kept[2]).union(broken)
 
 
 def json_objects(spark, sf):
@@ -310,6 +318,14 @@ def fact(spark, sf):
     return _naive(N.load_transactions(staging_table(spark, sf)))
 
 
+def fact_close_pairs(spark, sf):
+    """Each record thrice: as it is, half a second later, with a third decimal. All are different facts."""
+    rows = clean_feed(spark, sf)
+    later = rows.withColumn("trans_date_trans_time", F.col("trans_date_trans_time") + F.expr("interval 500 milliseconds"))
+    finer = rows.withColumn("amt", F.round(F.col("amt") + 0.004, 3))
+    return _naive(N.load_transactions(to_staging(rows.unionByName(later).unionByName(finer))))
+
+
 def first_city(spark, sf):
     """Same city and state with another population: the first one is kept."""
     rows = staging_table(spark, sf).withColumn("city_pop", F.col("city_pop") + F.year("transaction_ts"))
@@ -384,7 +400,7 @@ def spend_by_category_state(spark, sf):
     wide = denormalise(N.load_tables(staging_table(spark, sf)))
     return wide.groupBy("category", "state").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("amount").cast("decimal(12,2)")).cast("double").alias("amount"),
+        F.sum(F.col("amount").try_cast("decimal(28,2)")).cast("double").alias("amount"),
         F.count_distinct("customer_id").alias("customers"),
     )
 
@@ -547,6 +563,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_address": _dimension("address"),
     "dim_customer": _dimension("customer"),
     "fact": fact,
+    "fact_close_pairs": fact_close_pairs,
     "first_city": first_city,
     "gated_customer": gated_customer,
     "gated_fact": gated_fact,

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A broadcast is hinted only below this row count, and only for narrow key
-# sets; beyond it the join is left to Catalyst and AQE.
-BROADCAST_ROWS = 200_000
+# masters whose tasks all run in this process
+_ONE_PROCESS = re.compile(r"local(\[.*\])?")
 
 # application id -> folder, where the session names none
 _local_roots: dict[str, str] = {}
@@ -44,7 +44,7 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _ONE_PROCESS.fullmatch(spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         app = spark.sparkContext.applicationId
         root = _local_roots.get(app) or tempfile.mkdtemp(prefix="txnflow-")
@@ -64,14 +64,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` is small enough.
+def stored(df: DataFrame, label: str = "keys") -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back.
 
-    ``df`` should be cheap to count (a stored or checkpointed key set); the
-    count itself stops after ``max_rows`` + 1 rows.
+    Computed once, and of known size: a join with it is broadcast or shuffled
+    by Spark's own byte threshold.
     """
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
+    folder = new_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def all_of(conditions: list[Column]) -> Column:

@@ -12,8 +12,18 @@ from pyspark.sql import DataFrame
 from txnflow.operators.messages import encode_keyed_message, encode_message
 
 
+def keyed_messages(df: DataFrame, key: str | None) -> DataFrame:
+    """The messages of all rows; rows that lack the key are an error, not left out."""
+    if key is None:
+        return encode_message(df)
+    messages, refused = encode_keyed_message(df, key)
+    if not refused.isEmpty():
+        raise ValueError(f"rows without a value in the key column {key!r}")
+    return messages
+
+
 def write_kafka(df: DataFrame, servers: str, topic: str, key: str | None = None) -> None:
-    messages = encode_message(df) if key is None else encode_keyed_message(df, key)[0]
+    messages = keyed_messages(df, key)
     messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 

@@ -32,7 +32,8 @@ MONTH = T.StructField("ym", T.IntegerType(), True)
 
 BY_MONTH = ("transactions",)
 
-Months = tuple[int, int]
+#: Months as yyyymm numbers.
+Months = list[int]
 
 
 def table_schema(name: str) -> T.StructType:
@@ -44,8 +45,16 @@ def month_of(ts: Column) -> Column:
     return F.year(ts) * 100 + F.month(ts)
 
 
+# application id and root of the tables this process has made or found
+_present: set[tuple[str, str]] = set()
+
+
 def create_tables(spark: SparkSession, root: str) -> None:
-    """Make empty tables where there are none."""
+    """Make empty tables where there are none; looked at once for each root."""
+    key = (spark.sparkContext.applicationId, root)
+    if key in _present:
+        return
+    _present.add(key)
     for name in TABLES:
         schema = T.StructType([f for f in table_schema(name).fields if f not in (LOAD, MONTH)])
         folder = f"{root}/{name}/load_id=none" + ("/ym=0" if name in BY_MONTH else "")
@@ -55,7 +64,7 @@ def create_tables(spark: SparkSession, root: str) -> None:
 def read_table(spark: SparkSession, root: str, name: str, months: Months | None = None) -> DataFrame:
     df = spark.read.schema(table_schema(name)).parquet(f"{root}/{name}")
     if months is not None and name in BY_MONTH:
-        df = df.filter(F.col("ym").between(*months))
+        df = df.filter(F.col("ym").isin(months))
     return df
 
 

@@ -30,10 +30,10 @@ def write_delta(name: str, delta: DataFrame, root: str, load_id: str) -> None:
         rows.write.mode("overwrite").parquet(target)
 
 
-def _months(staging: DataFrame) -> Months | None:
-    month = month_of(F.col("transaction_ts"))
-    first, last = staging.agg(F.min(month), F.max(month)).first()
-    return None if first is None else (first, last)
+def _months(staging: DataFrame) -> Months:
+    """The months of a batch, one number for each."""
+    months = staging.select(month_of(F.col("transaction_ts")).alias("ym")).where("ym is not null").distinct()
+    return sorted(r["ym"] for r in months.collect())
 
 
 def load_staged(
@@ -42,7 +42,7 @@ def load_staged(
     """Load the stored staging rows of one load, parents first."""
     staging = scan_staging(spark, root, load_id)
     months = _months(staging)
-    if months is None:
+    if not months:
         return
     new = load_tables(staging, stored_before(spark, root, load_id, months), mode, grain)
     for name in TABLES:
