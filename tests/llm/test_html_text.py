@@ -68,3 +68,14 @@ def test_rows_and_query(spark):
     assert extract_text(pages.limit(0)).count() == 0
     out = QUERIES["op10_html_text"](spark, "/root/testdata/sf0.001")
     assert out.where("n_chars <> length(text) or text = ''").count() == 0
+
+
+LONG = "The cat and the dog were in the house and it was not on the way to the end of this"
+
+
+def test_an_article_does_not_switch_the_rest_of_the_page():
+    card = "<article><h3><a href=/n>Next</a></h3><p>Short card</p></article>"
+    page = f"<div>{LONG}</div><div>Short.</div><div>{LONG}</div><hr>{card}<p>tail of the site</p>"
+    assert main_text(page).startswith(f"{LONG}\n\nShort.\n\n{LONG}\n\nNext\n\nShort card")
+    links = "".join(f"<li><a href=/{i}>link number {i} of this list</a></li>" for i in range(9))
+    assert main_text(f"<p>by the site</p><article><p>One.</p><ul>{links}</ul><p>{LONG}</p></article><p>end</p>") == f"One.\n\n{LONG}"

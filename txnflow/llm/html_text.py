@@ -3,10 +3,12 @@
 A page becomes a list of blocks: the text between block tags, with its link
 text and the elements around it. Elements that never hold article text
 (scripts, menus, forms, asides and the like, and any whose class or id says
-so) are dropped. The first pass labels blocks: inside an article or main
-element the element decides; elsewhere link density, length and the share of
-stop words do. Blocks too short to tell are left open, and in the second pass
-take the label of the nearest labelled neighbour (a tie is boilerplate).
+so) are dropped. The first pass labels the blocks of every page by link
+density, length and the share of stop words; blocks these cannot tell are left
+open. In the second pass open blocks inside an article or main element are
+text, and the others take the label of the nearest labelled neighbour that is
+outside too (a tie is boilerplate). So the element is a prior of its own
+blocks only, and decides nothing for the rest of the page.
 
 Defined cases: NULL or empty html has no text; broken markup (tags that are
 not closed, a page that ends inside one) is read as far as it goes; rows that
@@ -35,6 +37,7 @@ _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]
 _HIDDEN = re.compile(r"""\s(?:hidden(?=[\s>=/])|aria-hidden\s*=\s*["']?true)""", re.IGNORECASE)
 
 _CONTENT = frozenset(["article", "main"])
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _DROPPED = frozenset(
     "head nav header footer aside form menu dialog button select option datalist label input fieldset audio video".split()
 )
@@ -66,6 +69,7 @@ class Block:
     text: str
     link_share: float
     content: bool  # inside an article or main element
+    heading: bool
 
 
 def _marked(rest: str) -> bool:
@@ -85,12 +89,13 @@ def blocks_of(page: str) -> list[Block]:
     boxes: list[tuple[str, bool, bool]] = []  # name, inside a dropped element, inside content
     dropped = content = False
     in_link = 0
+    heading = False
 
     def flush() -> None:
         nonlocal links
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, min(1.0, links / len(text)), content))
+            out.append(Block(text, min(1.0, links / len(text)), content, heading))
         parts.clear()
         links = 0
 
@@ -114,6 +119,7 @@ def blocks_of(page: str) -> list[Block]:
             if not dropped:
                 flush()
             in_link = 0
+            heading = not closing and name in _HEADINGS
             box = name in _BOXES or any(b[0] == name for b in boxes)
             if closing:
                 at = next((i for i in range(len(boxes) - 1, -1, -1) if boxes[i][0] == name), None)
@@ -136,19 +142,17 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def first_labels(blocks: list[Block]) -> list[bool | None]:
-    """True for text, False for boilerplate, None for blocks too short to tell."""
-    if any(b.content for b in blocks):
-        return [b.content for b in blocks]
+    """True for text, False for boilerplate, None for blocks that density, length and stop words cannot tell."""
     labels: list[bool | None] = []
     for b in blocks:
         words = b.text.lower().split()
         stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
         if b.link_share > MAX_LINKS:
-            labels.append(False)
+            labels.append(None if b.content and b.heading else False)
         elif len(words) < SHORT_WORDS:
             labels.append(None)
         else:
-            labels.append(stops >= MIN_STOPS)
+            labels.append(stops >= MIN_STOPS or (None if b.content else False))
     return labels
 
 
@@ -164,9 +168,15 @@ def inherit(labels: list[bool | None]) -> list[bool]:
     return [a[1] and b[1] if a[0] == b[0] else min(a, b)[1] for a, b in zip(before, after)]
 
 
+def second_labels(blocks: list[Block], labels: list[bool | None]) -> list[bool]:
+    """Open blocks inside an article or main element are text; others inherit from blocks that are outside too."""
+    outside = iter(inherit([x for b, x in zip(blocks, labels) if not b.content]))
+    return [x is not False if b.content else next(outside) for b, x in zip(blocks, labels)]
+
+
 def main_text(page: str | None) -> str:
     blocks = blocks_of(page or "")
-    return "\n\n".join(b.text for b, keep in zip(blocks, inherit(first_labels(blocks))) if keep)
+    return "\n\n".join(b.text for b, keep in zip(blocks, second_labels(blocks, first_labels(blocks))) if keep)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
