@@ -79,3 +79,21 @@ def test_an_article_does_not_switch_the_rest_of_the_page():
     assert main_text(page).startswith(f"{LONG}\n\nShort.\n\n{LONG}\n\nNext\n\nShort card")
     links = "".join(f"<li><a href=/{i}>link number {i} of this list</a></li>" for i in range(9))
     assert main_text(f"<p>by the site</p><article><p>One.</p><ul>{links}</ul><p>{LONG}</p></article><p>end</p>") == f"One.\n\n{LONG}"
+
+
+def test_marks_do_not_empty_the_page():
+    for name in ("page has-sidebar", "no-header", "with-sidebar", "search-results", "content social", "comments", "ad"):
+        assert main_text(f"<div class='{name}'><article><p>{LONG}</p></article><p>x</p></div>").startswith(LONG), name
+    for name in ("page has-sidebar", "no-header", "search-results", "content social"):
+        body = f"<div class='{name}'>" + f"<div>{LONG}</div>" * 3 + "</div>"
+        assert main_text(f"<nav>menu</nav>{body}<div class='sidebar'>{LONG}</div>") == "\n\n".join([LONG] * 3), name
+    for name in ("comments", "ad", "cookie-notice"):  # however long they are
+        assert main_text(f"<article><p>One.</p></article><div class='{name}'>" + f"<p>{LONG}</p>" * 9 + "</div>") == "One."
+    assert main_text(f"<article><p>One.</p><div class='social'>" + f"<p>{LONG}</p>" * 9 + "</div></article>") == "One."
+
+
+def test_omitted_end_tags_end_a_marked_element():
+    assert main_text("<article><p class='byline'>By A<p>One.<p>Two.</article>") == "One.\n\nTwo."
+    assert main_text("<article><ul><li class=ad>Buy<ul><li>it</ul><li>One.</ul><p>Two.</article>") == "One.\n\nTwo."
+    assert main_text("<article><table><tr><td class=share>S<td>One.<tr class=ad><td>A<td>B<tr><td>Two.</table>") == "One.\n\nTwo."
+    assert main_text("<article><p class=ad>Buy <span class=share>it<p>One.</article>") == "One."

@@ -2,8 +2,10 @@
 
 A page becomes a list of blocks: the text between block tags, with its link
 text and the elements around it. Elements that never hold article text
-(scripts, menus, forms, asides and the like, and any whose class or id says
-so) are dropped. The first pass labels the blocks of every page by link
+(scripts, menus, forms, asides and the like) are dropped. Blocks in elements
+whose class, id or role says boilerplate are left out, unless they are in an
+article or main element inside of it, or the element is a wrapper: its marks
+are words of layout and it holds most of the page's long text. The first pass labels the blocks of every page by link
 density, length and the share of stop words; blocks these cannot tell are left
 open. In the second pass open blocks inside an article or main element are
 text, and the others take the label of the nearest labelled neighbour that is
@@ -33,7 +35,7 @@ _TOKEN = re.compile(
     r"""|<[!?/][^>]*(?:>|\Z)|[^<]+|<""",
     re.DOTALL | re.IGNORECASE,
 )
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
+_NAMES = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""\s(?:hidden(?=[\s>=/])|aria-hidden\s*=\s*["']?true)""", re.IGNORECASE)
 
 _CONTENT = frozenset(["article", "main"])
@@ -61,6 +63,17 @@ STOP_WORDS = frozenset(
     "que qui se son sur un une als auch auf aus bei das dem den der die ein eine einen er es für ich ist mit nach nicht sich "
     "sie sind und von war wie wird zu zum al como con del el ella entre las lo los más no para pero por si sin su sus una y".split()
 )
+# fixed values: of them, words of the page's layout, which a wrapper of the text may bear too
+_LAYOUT = frozenset(
+    "alert banner form header masthead menu nav navbar navigation notice notices notification overlay related search share "
+    "sharing sidebar social toc toolbar widget".split()
+)
+_AROUND = re.compile(r"(?:no|not|has|have|with|without)[-_]")
+# fixed values: start tags that end an open element whose end tag may be omitted
+_ENDS = dict.fromkeys(["p"], _BLOCKS) | dict.fromkeys(["dt", "dd"], {"dt", "dd"}) | dict.fromkeys(["td", "th"], {"td", "th", "tr"})
+_ENDS |= {"li": {"li"}, "tr": {"tr"}} | dict.fromkeys(["thead", "tbody", "tfoot"], {"thead", "tbody", "tfoot"})
+#: A marked box that holds at least this many words of long text, and half of those of the page, is a wrapper of the text.
+WRAPPED_WORDS = 50
 MAX_LINKS, MIN_STOPS, SHORT_WORDS = 0.4, 0.1, 12
 
 
@@ -70,15 +83,19 @@ class Block:
     link_share: float
     content: bool  # inside an article or main element
     heading: bool
+    marks: tuple[int, ...]  # marked boxes around it, up to the next article or main element; negative if they may be wrappers
 
 
-def _marked(rest: str) -> bool:
-    if _HIDDEN.search(" " + rest):
-        return True
-    for values in _NAMES.findall(rest):
-        if not _MARKS.isdisjoint(re.split(r"[^a-z]+", "".join(values).lower())):
-            return True
-    return False
+def _marks(rest: str) -> set[str]:
+    """The words of class, id and role that mark boilerplate; "has-sidebar" or "no-header" tell of the page around."""
+    return {
+        word
+        for values in _NAMES.findall(rest)
+        for name in "".join(values).lower().split()
+        if not _AROUND.match(name)
+        for word in re.split(r"[^a-z]+", name)
+        if word in _MARKS
+    }
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -86,16 +103,17 @@ def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     links = 0
-    boxes: list[tuple[str, bool, bool]] = []  # name, inside a dropped element, inside content
-    dropped = content = False
-    in_link = 0
+    boxes: list[tuple[str, bool, bool, tuple[int, ...]]] = []  # name, inside a dropped element, inside content, marks
+    outer = (False, False, ())
+    dropped, content, marks = outer
+    in_link = n_marks = 0
     heading = False
 
     def flush() -> None:
         nonlocal links
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, min(1.0, links / len(text)), content, heading))
+            out.append(Block(text, min(1.0, links / len(text)), content, heading, marks))
         parts.clear()
         links = 0
 
@@ -113,34 +131,76 @@ def blocks_of(page: str) -> list[Block]:
         if name == "br" or name in ("img", "wbr"):
             if not dropped and name == "br":
                 parts.append(" ")
-        elif name == "a":
+            continue
+        if name == "a":
             in_link = 0 if closing else 1
-        elif name in _BLOCKS or (not closing and name not in _VOID and _marked(m["rest"])):
+            continue
+        starts = not closing and name not in _VOID
+        hidden = starts and bool(_HIDDEN.search(" " + m["rest"]))
+        words = _marks(m["rest"]) if starts and name not in ("html", "body") and name not in _CONTENT else ()
+        if name in _BLOCKS or hidden or words:
             if not dropped:
                 flush()
             in_link = 0
             heading = not closing and name in _HEADINGS
-            box = name in _BOXES or any(b[0] == name for b in boxes)
             if closing:
                 at = next((i for i in range(len(boxes) - 1, -1, -1) if boxes[i][0] == name), None)
                 if at is not None:
                     del boxes[at:]
-            elif not m["rest"].endswith("/>"):
-                bad = name in _DROPPED or (name not in _CONTENT and name not in ("html", "body") and _marked(m["rest"]))
-                if box or bad:
-                    boxes.append((name, dropped or bad, content or name in _CONTENT))
-            dropped, content = (boxes[-1][1], boxes[-1][2]) if boxes else (False, False)
+            else:
+                _end_omitted(boxes, name)
+                dropped, content, marks = boxes[-1][1:] if boxes else outer
+                box = name in _BOXES or any(b[0] == name for b in boxes)
+                bad = name in _DROPPED or (hidden and name not in ("html", "body") and name not in _CONTENT)
+                if not m["rest"].endswith("/>") and (box or bad or words):
+                    if name in _CONTENT:
+                        marks = ()
+                    elif words:
+                        n_marks += 1
+                        marks = (*marks, -n_marks if not content and _LAYOUT.issuperset(words) else n_marks)
+                    boxes.append((name, dropped or bad, content or name in _CONTENT, marks))
+            dropped, content, marks = boxes[-1][1:] if boxes else outer
         elif closing and any(b[0] == name for b in boxes):  # a marked element that is no block by itself
             at = max(i for i, b in enumerate(boxes) if b[0] == name)
             if not dropped:
                 flush()
             del boxes[at:]
-            dropped, content = (boxes[-1][1], boxes[-1][2]) if boxes else (False, False)
+            dropped, content, marks = boxes[-1][1:] if boxes else outer
     if not dropped:
         flush()
     return out
 
 
+def _end_omitted(boxes: list, name: str) -> None:
+    """Ends the open p, li, td and the like whose end tag is omitted before the start tag ``name``."""
+    at = None
+    for i in range(len(boxes) - 1, -1, -1):
+        if boxes[i][0] in _BOXES:
+            break
+        if name in _ENDS.get(boxes[i][0], ()):
+            at = i
+    if at is not None:
+        del boxes[at:]
+
+
+def unmarked(blocks: list[Block]) -> list[Block]:
+    """Blocks without those in marked boxes; a mark on a wrapper of the page's text does not count."""
+    if not any(b.marks for b in blocks):
+        return blocks
+    inside: dict[int, int] = {}
+    total = 0
+    for b in blocks:
+        if any(m > 0 for m in b.marks) or b.link_share > MAX_LINKS:
+            continue
+        size = len(b.text.split())
+        if size >= SHORT_WORDS:
+            total += size
+            for m in b.marks:
+                inside[m] = inside.get(m, 0) + size
+    wrappers = {m for m, size in inside.items() if size >= WRAPPED_WORDS and 2 * size > total}
+    return [b for b in blocks if wrappers.issuperset(b.marks)]
+
+
 def first_labels(blocks: list[Block]) -> list[bool | None]:
     """True for text, False for boilerplate, None for blocks that density, length and stop words cannot tell."""
     labels: list[bool | None] = []
@@ -175,7 +235,7 @@ def second_labels(blocks: list[Block], labels: list[bool | None]) -> list[bool]:
 
 
 def main_text(page: str | None) -> str:
-    blocks = blocks_of(page or "")
+    blocks = unmarked(blocks_of(page or ""))
     return "\n\n".join(b.text for b, keep in zip(blocks, second_labels(blocks, first_labels(blocks))) if keep)
 
 
