@@ -97,3 +97,18 @@ def test_omitted_end_tags_end_a_marked_element():
     assert main_text("<article><ul><li class=ad>Buy<ul><li>it</ul><li>One.</ul><p>Two.</article>") == "One.\n\nTwo."
     assert main_text("<article><table><tr><td class=share>S<td>One.<tr class=ad><td>A<td>B<tr><td>Two.</table>") == "One.\n\nTwo."
     assert main_text("<article><p class=ad>Buy <span class=share>it<p>One.</article>") == "One."
+
+
+def test_other_languages_and_scripts_outside_an_article():
+    polish = "Wczoraj wieczorem nad jeziorem zebrali się mieszkańcy całej okolicy, żeby wspólnie obejrzeć pierwsze wiosenne przedstawienie teatralne."
+    finnish = "Kaupunginvaltuusto hyväksyi maanantaina rakennuslautakunnan valmisteleman asemakaavamuutosehdotuksen yksimielisesti."
+    chinese = "昨天晚上湖边聚集了来自附近各个村庄的居民,大家一起观看了今年春天的第一场露天戏剧演出,直到深夜才陆续回家。"
+    japanese = "昨日の夜、湖のほとりに近くの村々から多くの人が集まり、今年最初の野外劇を最後まで一緒に楽しみました。"
+    thai = "เมื่อวานนี้ชาวบ้านจากหมู่บ้านใกล้เคียงมารวมตัวกันที่ริมทะเลสาบเพื่อชมการแสดงละครกลางแจ้งครั้งแรกของปีนี้ด้วยกัน"
+    links = "<div><a href=1>" + "</a> <a href=2>".join("jeden dwa trzy cztery pięć sześć siedem".split()) + "</a></div>"
+    for text in (polish, finnish, chinese, japanese, thai):
+        assert main_text(f"{links}<div>{text}</div><p>{text}</p>{links}") == f"{text}\n\n{text}", text
+    assert main_text(f"<p>{LONG}</p><p>{chinese}</p>") == f"{LONG}\n\n{chinese}"
+    listed = "Shoes Shirts Trousers Hats Gloves Scarves Belts Socks Boots Coats Jackets Skirts Dresses"
+    assert main_text(f"<p>{LONG}</p><p>{listed}</p><p>{LONG}</p>") == f"{LONG}\n\n{LONG}"  # a known language
+    assert main_text("<p>" + "x " * 90) == ""

@@ -6,7 +6,8 @@ text and the elements around it. Elements that never hold article text
 whose class, id or role says boilerplate are left out, unless they are in an
 article or main element inside of it, or the element is a wrapper: its marks
 are words of layout and it holds most of the page's long text. The first pass labels the blocks of every page by link
-density, length and the share of stop words; blocks these cannot tell are left
+density, length and the share of stop words (by density and length alone where
+the language is none whose stop words are known); blocks these cannot tell are left
 open. In the second pass open blocks inside an article or main element are
 text, and the others take the label of the nearest labelled neighbour that is
 outside too (a tie is boilerplate). So the element is a prior of its own
@@ -74,7 +75,10 @@ _ENDS = dict.fromkeys(["p"], _BLOCKS) | dict.fromkeys(["dt", "dd"], {"dt", "dd"}
 _ENDS |= {"li": {"li"}, "tr": {"tr"}} | dict.fromkeys(["thead", "tbody", "tfoot"], {"thead", "tbody", "tfoot"})
 #: A marked box that holds at least this many words of long text, and half of those of the page, is a wrapper of the text.
 WRAPPED_WORDS = 50
-MAX_LINKS, MIN_STOPS, SHORT_WORDS = 0.4, 0.1, 12
+MAX_LINKS, MIN_STOPS, SHORT_WORDS, SHORT_CHARS = 0.4, 0.1, 12, 80
+# scripts without spaces between words: two characters count as a word (Chinese, Japanese), or four (Thai, Lao, Burmese, Khmer)
+_HAN, _THAI = "\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff", "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
+_UNITS = re.compile(rf"[{_HAN}]{{1,2}}|[{_THAI}]{{1,4}}|[^\s{_HAN}{_THAI}]+")
 
 
 @dataclass
@@ -192,8 +196,8 @@ def unmarked(blocks: list[Block]) -> list[Block]:
     for b in blocks:
         if any(m > 0 for m in b.marks) or b.link_share > MAX_LINKS:
             continue
-        size = len(b.text.split())
-        if size >= SHORT_WORDS:
+        size = len(words_of(b.text))
+        if size >= SHORT_WORDS or len(b.text) >= SHORT_CHARS:
             total += size
             for m in b.marks:
                 inside[m] = inside.get(m, 0) + size
@@ -201,18 +205,41 @@ def unmarked(blocks: list[Block]) -> list[Block]:
     return [b for b in blocks if wrappers.issuperset(b.marks)]
 
 
+def words_of(text: str) -> list[str]:
+    """Words in lower case; runs of scripts without spaces are cut into pieces of about a word."""
+    low = text.lower()
+    return low.split() if low.isascii() or max(low) < "\u0e00" else _UNITS.findall(low)
+
+
+def _foreign(text: str) -> bool:
+    """Mostly letters that no language of the stop words has."""
+    return not text.isascii() and 2 * sum(c >= "\u0250" and c.isalpha() for c in text) > sum(c.isalpha() for c in text)
+
+
 def first_labels(blocks: list[Block]) -> list[bool | None]:
-    """True for text, False for boilerplate, None for blocks that density, length and stop words cannot tell."""
+    """True for text, False for boilerplate, None for blocks that density, length and stop words cannot tell.
+
+    Where stop words say nothing (on a page where those of no known language are
+    frequent, or in a block of another script) a long block of few links and of
+    more than a few different words is text.
+    """
+    cut = [words_of(b.text) for b in blocks]
+    stops = [sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) for words in cut]
+    long_ = [len(words) >= SHORT_WORDS or len(b.text) >= SHORT_CHARS for b, words in zip(blocks, cut)]
+    judged = [i for i, b in enumerate(blocks) if long_[i] and b.link_share <= MAX_LINKS]
+    known = sum(stops[i] for i in judged) >= MIN_STOPS * sum(len(cut[i]) for i in judged)
     labels: list[bool | None] = []
-    for b in blocks:
-        words = b.text.lower().split()
-        stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+    for b, words, n, is_long in zip(blocks, cut, stops, long_):
         if b.link_share > MAX_LINKS:
             labels.append(None if b.content and b.heading else False)
-        elif len(words) < SHORT_WORDS:
+        elif not is_long:
             labels.append(None)
+        elif n >= MIN_STOPS * len(words):
+            labels.append(True)
+        elif (not known or _foreign(b.text)) and 2 * len(set(words)) >= SHORT_WORDS:
+            labels.append(True)
         else:
-            labels.append(stops >= MIN_STOPS or (None if b.content else False))
+            labels.append(None if b.content else False)
     return labels
 
 
