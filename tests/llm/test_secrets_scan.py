@@ -99,3 +99,34 @@ def test_query_digests(spark):
         assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
         assert [r[f"n_{k}"] for k in S.BASE_KINDS] == [sum(s[0] == k for s in spans) for k in S.BASE_KINDS]
         assert set(joined.split(",")) <= set(r["spans"].split(","))
+
+
+def spans(text):
+    return [(k, text[a:b]) for k, a, b in S.spans_of(text) if k not in S.BASE_KINDS]
+
+
+def wrap(x, n, sep="\n"):
+    return sep.join(x[i : i + n] for i in range(0, len(x), n))
+
+
+def test_keys_over_lines_and_inside_of_other_encodings():
+    for key, kind in ((RSA, "der"), (PKCS8, "der"), (SEC1, "der"), (SSH, "openssh")):
+        pem = f"-----BEGIN PRIVATE KEY-----\n{wrap(b64(key), 64)}\n-----END PRIVATE KEY-----"
+        service = json.dumps({"type": "service_account", "private_key": pem + "\n"})
+        assert spans(service) == [(kind, json.dumps(pem)[1:-1])]
+        assert kinds(json.dumps(service)) == [kind]
+        for n in (20, 64, 76):
+            for sep in ("\n", "\r\n", "\n    ", "\\n"):
+                lines = wrap(b64(key), n, sep)
+                assert spans(f"key:\n{lines}\nend of it") == [(kind, lines)], (n, sep)
+                assert spans(f"Averylongsingleword\n{lines}\nend") == [(kind, lines)], (n, sep)
+                hexed = wrap(key.hex(), 2 * n, sep)
+                assert spans(f"key:\n{hexed}\nzzz") == [(kind, hexed)], (n, sep)
+        for whole in (pem, "note\n" + pem + "\n", service):
+            coded = b64(whole.encode())
+            assert spans(f"tls.key: {coded} x") == [(kind, coded)]
+            assert kinds("Averylongsingleword\n" + wrap(coded, 76)) == [kind]
+            assert kinds(f"x {whole.encode().hex()} y") == [kind]
+    broken = pem.replace(b64(SSH)[:8], b64(SSH)[:7] + "A")
+    assert kinds(b64(broken.encode())) == [] and kinds(json.dumps(broken)) == []
+    assert kinds(wrap(b64(PKCS8 + b"\0"), 64)) == [] and kinds(wrap(b64(PKCS8)[:-4], 64)) == []

@@ -1,7 +1,9 @@
 """Secret scan: patterns first, then candidates confirmed by their decoded structure.
 
 Assignments, access keys and long hex runs are found by pattern. Beyond them,
-base64 and hex runs are decoded and reported only if the bytes hold together:
+all base64 and hex runs, joined over line breaks (real, or written out as in
+JSON), are decoded and reported only if the bytes, or those of an armoured key
+found in them, hold together:
 a private key in DER (every nested length fills its parent exactly and the
 members are those of a key format), an OpenSSH key (length-prefixed strings to
 the last byte), or a signed token whose header and payload are JSON objects
@@ -17,6 +19,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,10 +37,22 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_ARMOUR = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END [A-Z0-9 ]*PRIVATE KEY-----")
-# a DER sequence begins with 0x30, which is M in base64; the other start is OpenSSH's magic
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-P]|b3BlbnNzaC1rZXk)[A-Za-z0-9+/_-]{22,}={0,2}")
-_HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{30,}")
+_BREAK = r"[\x20\t]*(?:(?:\\+[rn]|[\r\n])[\x20\t]*)+"  # real or written out
+_ARMOUR = re.compile(
+    r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----((?:[A-Za-z0-9+/=\s]|\\+[rnt])+)-----END [A-Z0-9 ]*PRIVATE KEY-----"
+)
+
+
+def _chain(alphabet: str, least: int, end: str = "") -> re.Pattern:
+    """Runs of an alphabet over line breaks, from a line of at least so many characters on."""
+    return re.compile(rf"(?:(?<=\\[rnt])|(?<![{alphabet}])(?!(?<=\\)[rnt]))[{alphabet}]{{{least},}}+(?:{_BREAK}[{alphabet}]++)*{end}")
+
+
+_BASE64_CHAIN = _chain("A-Za-z0-9+/_-", 16, "={0,2}")
+_HEX_CHAIN = _chain("0-9A-Fa-f", 32)
+_BASE64_LINE, _HEX_LINE = (re.compile(rf"(?:\\+[rn]|\s)+|[{x}]+") for x in ("A-Za-z0-9+/_-", "0-9A-Fa-f"))
+_WRITTEN = re.compile(r"\\+[rnt]")
+_MAGIC = b"openssh-key-v1\x00"
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])e[wy][A-Za-z0-9_-]{8,}\.e[wy3][A-Za-z0-9_-]*\.[A-Za-z0-9_-]*")
 
 _INT, _OCTETS, _OID, _SEQ = 0x02, 0x04, 0x06, 0x30
@@ -46,7 +61,7 @@ _MAX_DEPTH = 16
 
 def decode_base64(text: str) -> bytes | None:
     """Either alphabet, with or without padding and line breaks."""
-    plain = "".join(text.split()).rstrip("=").replace("-", "+").replace("_", "/")
+    plain = _WRITTEN.sub("", "".join(text.split())).rstrip("=").replace("-", "+").replace("_", "/")
     if len(plain) % 4 == 1:
         return None
     try:
@@ -101,20 +116,19 @@ def is_private_key(data: bytes) -> bool:
     return len(tags) >= 3 and tags[1:3] == [_SEQ, _OCTETS] and bool(members[1][1]) and members[1][1][0][0] == _OID
 
 
-def is_openssh_key(data: bytes) -> bool:
-    """The magic, three strings, a key count, and as many public keys and one private part to the end."""
-    magic = b"openssh-key-v1\x00"
-    if not data.startswith(magic):
-        return False
-    at, strings, left = len(magic), 0, 3
+def _openssh_size(data: bytes) -> int | None:
+    """The magic, three strings, a key count, and as many public keys and one private part: where they end."""
+    if not data.startswith(_MAGIC):
+        return None
+    at, strings, left = len(_MAGIC), 0, 3
     while left:
         if at + 4 > len(data):
-            return False
+            return None
         size = int.from_bytes(data[at : at + 4], "big")
         at += 4
         if strings == 3:  # the number of keys
             if not 1 <= size <= 64:
-                return False
+                return None
             left = size + 1
         else:
             at += size
@@ -122,7 +136,22 @@ def is_openssh_key(data: bytes) -> bool:
             if strings == 2:
                 left = 1
         strings += 1
-    return at == len(data)
+    return at
+
+
+def is_openssh_key(data: bytes) -> bool:
+    """The structure fills the data to the last byte."""
+    return _openssh_size(data) == len(data)
+
+
+def _der_size(data: bytes) -> int | None:
+    """The length of the DER sequence that ``data`` begins with, by its header."""
+    if len(data) < 2 or data[0] != _SEQ:
+        return None
+    if data[1] < 0x80:
+        return 2 + data[1]
+    wide = data[1] & 0x7F
+    return 2 + wide + int.from_bytes(data[2 : 2 + wide], "big") if 1 <= wide <= 4 else None
 
 
 def is_signed_token(text: str) -> bool:
@@ -141,6 +170,54 @@ def _kind_of(data: bytes | None) -> str | None:
     return "der" if data[:1] == b"\x30" and is_private_key(data) else "openssh" if is_openssh_key(data) else None
 
 
+def _armoured(text: str) -> list[tuple[str, int, int]]:
+    """Armoured keys whose content holds together."""
+    return [(kind, *m.span()) for m in _ARMOUR.finditer(text) if (kind := _kind_of(decode_base64(m[1])))]
+
+
+def _unhex(text: str) -> bytes | None:
+    return bytes.fromhex(text) if len(text) % 2 == 0 else None
+
+
+def _in_chain(text: str, m: re.Match, line: re.Pattern, decode, size: int, bits: int) -> list[tuple[str, int, int]]:
+    """Keys in a run over lines: each from the start of a line to the end of one.
+
+    ``size`` characters hold ``size * bits / 8`` whole bytes. A key says in its
+    header where it ends, so lines of text before and after it do no harm.
+    """
+    lines = [x.span() for x in line.finditer(text, *m.span()) if not (x[0][0].isspace() or x[0][0] == "\\")]
+    plain = "".join(text[a:b] for a, b in lines)
+    ends, n = {}, 0  # characters up to a line's end: its number
+    starts = []
+    for i, (a, b) in enumerate(lines):
+        starts.append(n)
+        n += b - a
+        ends[n] = i
+    found = []
+    free = 0
+    for i, at in enumerate(starts):
+        if i < free:
+            continue
+        head = decode(plain[at : at + 6 * size]) or b""
+        whole = _der_size(head)
+        if whole is None and _MAGIC.startswith(head[:15]) and len(head) >= 3:
+            rest = n - at
+            whole = _openssh_size(decode(plain[at : n - (rest % size == 1)]) or b"")
+        last = ends.get(at - (-8 * whole // bits)) if whole else None
+        if last is not None and (kind := _kind_of(decode(plain[at : at - (-8 * whole // bits)]))):
+            found.append((kind, lines[i][0], m.end() if last == len(lines) - 1 else lines[last][1]))
+            free = last + 1
+    for skip in range(size):  # an armoured key inside; lines before it shift the decoding by less than a group
+        length = (n - skip) // size * size + (n - skip) % size * (size == 4 and (n - skip) % size > 1)
+        inner = decode(plain[skip : skip + length]) or b""
+        if b"-----BEGIN" in inner:
+            for kind, a, b in _armoured(inner.decode("latin-1")):
+                i = bisect_right(starts, skip + 8 * a // bits) - 1
+                j = bisect_right(starts, skip + (8 * b - 1) // bits) - 1
+                found.append((kind, lines[i][0], m.end() if j == len(lines) - 1 else lines[j][1]))
+    return found
+
+
 def spans_of(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start, then kind."""
     found = []
@@ -149,18 +226,14 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
     if "AKIA" in text:
         found += [("access", *m.span()) for m in _ACCESS.finditer(text)]
     found += [("hex", *m.span()) for m in _HEX.finditer(text)]
-    armoured = []
-    if "-----BEGIN" in text:
-        for m in _ARMOUR.finditer(text):
-            if kind := _kind_of(decode_base64(m[1])):
-                armoured.append(m.span())
-                found.append((kind, *m.span()))
-    for m in _BASE64.finditer(text):
-        if not any(a <= m.start() < b for a, b in armoured) and (kind := _kind_of(decode_base64(m[0]))):
-            found.append((kind, *m.span()))
-    for m in _HEX_KEY.finditer(text):
-        if len(m[0]) % 2 == 0 and (kind := _kind_of(bytes.fromhex(m[0]))):
-            found.append((kind, *m.span()))
+    armoured = _armoured(text) if "-----BEGIN" in text else []
+    keys = []
+    for m in _BASE64_CHAIN.finditer(text):
+        keys += _in_chain(text, m, _BASE64_LINE, decode_base64, 4, 6)
+    for m in _HEX_CHAIN.finditer(text):
+        keys += _in_chain(text, m, _HEX_LINE, _unhex, 2, 4)
+    found += armoured
+    found += sorted({k for k in keys if not any(a <= k[1] < b for _, a, b in armoured)})
     if "." in text and ("ey" in text or "ew" in text):
         found += [("token", *m.span()) for m in _TOKEN.finditer(text) if is_signed_token(m[0])]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
