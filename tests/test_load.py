@@ -218,6 +218,23 @@ def test_refused_customers_leave_no_orphans(spark):
     assert check_reference(new["transactions"], "customer_id", new["customer"]).count() == 0
 
 
+def test_rows_of_refused_customers_are_kept_as_orphans(spark):
+    from txnflow.sources.tables import create_tables, scan_orphans
+    from txnflow.streaming.load import load_staged
+
+    root = new_folder(spark, "orphans")
+    create_tables(spark, root)
+    rows = staged(spark, [txn(1), txn(2), txn(3, "B")]).withColumn("violated", F.lit(None).cast("array<string>"))
+    odd = rows.withColumn(
+        "customer_id", F.when(F.col("transaction_num") == "t00002", F.lit("other")).otherwise(F.col("customer_id"))
+    )
+    odd.write.parquet(f"{root}/staging/load_id=o-0")
+    for _ in range(2):  # again, as after a failure
+        load_staged(spark, root, "o-0")
+        assert rows_of(scan_orphans(spark, root), "transaction_num", "load_id") == [("t00002", "o-0")]
+    assert rows_of(read_table(spark, root, "transactions"), "transaction_num") == [("t00001",), ("t00003",)]
+
+
 # the stored model
 
 

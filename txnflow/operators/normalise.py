@@ -163,6 +163,9 @@ def load_tables(
 ) -> dict[str, DataFrame]:
     """The new rows of all seven tables for one batch of staging rows.
 
+    In ``complete`` mode "orphans" holds the staging rows of refused customers,
+    whose facts stay out of the model.
+
     ``staging`` is read three times: once per rollup and once for the facts. It
     should be a stored table.
     """
@@ -183,7 +186,9 @@ def load_tables(
     if mode == "complete":
         new["customer"] = load_customer(buyers, stored)
         refused = store(refused_customers(buyers, stored, new["customer"]))
-        new["transactions"] = load_transactions(staging, stored, refused=None if refused.isEmpty() else refused)
+        none = refused.isEmpty()
+        new["transactions"] = load_transactions(staging, stored, refused=None if none else refused)
+        new["orphans"] = staging.limit(0) if none else staging.join(refused, "customer_id", "left_semi").select(*staging.columns)
     elif grain == "batch":
         new["customer"] = load_customer(buyers, stored, returning(new["address"]))
         new["transactions"] = load_transactions(

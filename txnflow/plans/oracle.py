@@ -339,6 +339,11 @@ ORACLE: dict[str, str] = {
     "check_orphans": _with(
         _LOADS, f"SELECT {_FACT_COLS} FROM staging WHERE customer_id NOT IN (SELECT customer_id FROM one)"
     ),
+    "orphan_facts": _with(
+        _LOADS,
+        """SELECT 'second' AS load_id, id, transaction_num, transaction_ts, reverse(customer_id) AS customer_id, amount
+           FROM two WHERE customer_id IN (SELECT customer_id FROM one)""",
+    ),
     **{f"dim_{name}": _with(STAGING, _first(*spec)) for name, spec in _DIMS.items()},
     "fact": _with(STAGING, _FACT),
     "fact_close_pairs": _with(_CLOSE_PAIRS, _FACT),

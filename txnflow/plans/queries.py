@@ -21,8 +21,8 @@ from txnflow.schema import FIELD_NAMES, RAW_SCHEMA, TABLES
 from txnflow.session import configure, new_folder
 from txnflow.sinks.files import read_route, route_sinks, write_json_objects
 from txnflow.sources import csv as csv_source
-from txnflow.sources.tables import read_table, scan_ids, scan_staging
-from txnflow.streaming.load import load_batch, write_staging
+from txnflow.sources.tables import create_tables, read_table, scan_ids, scan_orphans, scan_staging
+from txnflow.streaming.load import load_batch, load_staged, write_staging
 from txnflow.streaming.start import start_ingest, start_load, wait
 
 # Rows before this time are the earlier load in the queries with two loads.
@@ -405,6 +405,19 @@ def spend_by_category_state(spark, sf):
     )
 
 
+def orphan_facts(spark, sf):
+    """A second load names known customers by other ids: they are refused, and their rows are kept as orphans."""
+    root = new_folder(spark, "model")
+    rows = staging_table(spark, sf).withColumn("violated", F.lit(None).cast("array<string>"))
+    late = F.col("transaction_ts") >= FIRST_LOAD_ENDS
+    renamed = rows.filter(late).withColumn("customer_id", F.reverse("customer_id"))
+    create_tables(spark, root)
+    for load_id, part in (("first", rows.filter(~late)), ("second", renamed)):
+        part.write.parquet(f"{root}/staging/load_id={load_id}")
+        load_staged(spark, root, load_id)
+    return _naive(scan_orphans(spark, root).select("load_id", "id", "transaction_num", "transaction_ts", "customer_id", "amount"))
+
+
 # profiling and order
 
 _PROFILED = ["street", "city", "state", "zip", "lat", "long", "city_pop", "coord"]
@@ -573,6 +586,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "known_rows": known_rows,
     "new_address_rows": new_address_rows,
     "denormalised": denormalised,
+    "orphan_facts": orphan_facts,
     "distinct_counts": distinct_counts,
     "value_counts": value_counts,
     "distinct_rows": distinct_rows,

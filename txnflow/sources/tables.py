@@ -31,6 +31,8 @@ LOAD = T.StructField("load_id", T.StringType(), True)
 MONTH = T.StructField("ym", T.IntegerType(), True)
 
 BY_MONTH = ("transactions",)
+#: Beside the tables: staging rows of refused customers.
+ORPHANS = "orphans"
 
 #: Months as yyyymm numbers.
 Months = list[int]
@@ -59,6 +61,7 @@ def create_tables(spark: SparkSession, root: str) -> None:
         schema = T.StructType([f for f in table_schema(name).fields if f not in (LOAD, MONTH)])
         folder = f"{root}/{name}/load_id=none" + ("/ym=0" if name in BY_MONTH else "")
         spark.createDataFrame([], schema).write.mode("ignore").parquet(folder)
+    spark.createDataFrame([], STAGING_SCHEMA).write.mode("ignore").parquet(f"{root}/{ORPHANS}/load_id=none")
 
 
 def read_table(spark: SparkSession, root: str, name: str, months: Months | None = None) -> DataFrame:
@@ -88,5 +91,11 @@ def scan_staging(spark: SparkSession, root: str, load_id: str | None = None, acc
     return df.filter(kept).select(*STAGING_SCHEMA.names) if accepted else df.filter(~kept).drop("load_id")
 
 
+def scan_orphans(spark: SparkSession, root: str, load_id: str | None = None) -> DataFrame:
+    """Staging rows whose customer was refused, with their load; of one load if named."""
+    df = spark.read.schema(T.StructType([*STAGING_SCHEMA.fields, LOAD])).parquet(f"{root}/{ORPHANS}")
+    return df if load_id is None else df.filter(F.col("load_id") == load_id)
+
+
 def scan_ids(table: DataFrame) -> DataFrame:
     return table.select("id")

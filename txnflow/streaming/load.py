@@ -9,7 +9,7 @@ from txnflow.operators.constraints import acceptable, violations
 from txnflow.operators.normalise import load_tables, with_audit
 from txnflow.operators.project import to_staging
 from txnflow.schema import TABLES
-from txnflow.sources.tables import BY_MONTH, MONTH, Months, create_tables, month_of, scan_staging, stored_before
+from txnflow.sources.tables import BY_MONTH, MONTH, ORPHANS, Months, create_tables, month_of, scan_staging, stored_before
 
 
 def write_staging(records: DataFrame, root: str, load_id: str, **id_options) -> None:
@@ -30,6 +30,11 @@ def write_delta(name: str, delta: DataFrame, root: str, load_id: str) -> None:
         rows.write.mode("overwrite").parquet(target)
 
 
+def write_orphans(orphans: DataFrame, root: str, load_id: str) -> None:
+    """Overwrite this load's staging rows whose customer was refused."""
+    orphans.write.mode("overwrite").parquet(f"{root}/{ORPHANS}/load_id={load_id}")
+
+
 def _months(staging: DataFrame) -> Months:
     """The months of a batch, one number for each."""
     months = staging.select(month_of(F.col("transaction_ts")).alias("ym")).where("ym is not null").distinct()
@@ -47,6 +52,8 @@ def load_staged(
     new = load_tables(staging, stored_before(spark, root, load_id, months), mode, grain)
     for name in TABLES:
         write_delta(name, new[name], root, load_id)
+    if "orphans" in new:
+        write_orphans(new["orphans"], root, load_id)
 
 
 def load_batch(
