@@ -93,3 +93,12 @@ def test_edge_rows_and_empty_tables(spark):
 def test_query_equals_sql(spark):
     sf = "/root/testdata/sf0.001"
     assert differences(QUERIES["op5_quality_rules"](spark, sf), connect(sf), SQL["op5_quality_rules"]) == []
+
+
+def test_query_equals_sql_where_thresholds_exist(spark, tmp_path):
+    docs, labels = labelled(spark, 1500)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    got = QUERIES["op5_quality_rules"](spark, str(tmp_path))
+    assert got.where("not kept and not base_failed").count() > 0
+    assert differences(got, connect(str(tmp_path)), SQL["op5_quality_rules"]) == []
