@@ -52,6 +52,23 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     assert {i for i, *_ in want} >= set(range(12)) and not {22, 40, 41, 50, 52, 53} & {i for i, *_ in want}
 
 
+def test_thresholds_and_long_texts_reach_every_stage(spark, tmp_path):
+    """Enough labels for a threshold: junk goes by it, long and clean documents stay, a group of copies leaves one."""
+    docs, labels = test_quality_rules.labelled(spark, 1500)
+    long = [(10_000 + i, prose(20000, 5000 + i)) for i in range(2)]
+    copies = [(20_000 + i, prose(60, 4242)) for i in range(300)]
+    docs = docs.union(test_quality_rules.docs_of(spark, long + copies))
+    docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    items = spark.createDataFrame(test_decontaminate.ITEMS, "item_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r[0] for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()}
+    bad = {r[0] for r in labels.where("quality = 0").collect()}
+    assert len(bad) > 200 and not bad & got
+    assert got == {r[0] for r in docs.collect()} - bad - set(range(20_001, 20_300))
+
+
 def test_stages_keep_the_columns_of_documents(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(40)

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -20,6 +21,10 @@ TEXTS = EDGE + [
 ]
 
 
+def one_label(spark):
+    return spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+
+
 def brute(text):
     t = text or ""
     w = SPACED.findall(t)
@@ -80,6 +85,23 @@ def test_good_documents_that_look_bad_push_the_threshold_away(spark):
         assert Q.COST * r["rejected_good"] < r["rejected_bad"] and r["rejected_good"] <= 3
 
 
+def test_long_texts_are_filtered_in_linear_time(spark):
+    """The filter on the verdict must not reach the text: it would cut it once for each word."""
+    rows = [(i, prose(20000, i)) for i in range(4)] + [(9, "again and again " * 7000)]
+    start = time.time()
+    assert sorted(r[0] for r in Q.keep_good(docs_of(spark, rows), one_label(spark)).select("doc_id").collect()) == [0, 1, 2, 3]
+    assert time.time() - start < 60
+
+
+def test_columns_named_like_inner_ones_pass(spark):
+    names = ["_text", "_w", "_row", "_doc", "_stratum", "_own", "_limits", "base_failed", "kept", "n_words", "my-col", "a.b"]
+    docs = docs_of(spark, [(1, prose(30, 1)), (2, "short")]).withColumns({n: F.lit("mine") for n in names if n != "a.b"})
+    docs = docs.select("*", F.struct(F.lit(1).alias("x-y")).alias("a.b"))
+    got = Q.keep_good(docs, one_label(spark))
+    assert got.dtypes == docs.dtypes
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in docs.where("doc_id = 1").collect()]
+
+
 def test_edge_rows_and_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     docs = docs_of(spark, TEXTS).withColumn("lang", F.lit(None).cast("string"))

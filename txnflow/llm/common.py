@@ -29,6 +29,16 @@ def whole_text(df: DataFrame, column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def column(name: str) -> Column:
+    """The column of exactly this name, whatever characters are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def row_struct(names: list[str]) -> Column:
+    """The named columns packed into one struct: there they cannot clash with an operator's inner names."""
+    return F.struct(*(column(n) for n in names))
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: computed once, no lineage."""
     folder = new_folder(df.sparkSession, label)

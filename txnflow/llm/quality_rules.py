@@ -29,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnflow.llm.common import SPACED_WORD, store, whole_text
+from txnflow.llm.common import SPACED_WORD, row_struct, store, whole_text
 
 #: Share of good documents that the rules may reject in a stratum, and the chance to exceed it.
 RISK, ERROR = 0.02, 0.05
@@ -72,14 +72,17 @@ def _repeated_words(grams: str) -> Column:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """``docs`` with the counts of ``FEATURES``; one pass over each text, no shuffle."""
-    out = docs.withColumn("_text", whole_text(docs))
+    """``docs`` with the counts of ``FEATURES``; one pass over each text, no shuffle.
+
+    The row travels as one struct, so its names cannot meet the inner ones. The
+    word hashes are bound once where windows are formed: read by name, they
+    could be inlined, and each position would cut the text anew.
+    """
+    keep = [c for c in docs.columns if c not in FEATURES]
+    out = docs.select(row_struct(keep).alias("_row"), whole_text(docs).alias("_text"))
     out = out.withColumn("_w", F.regexp_extract_all("_text", F.lit(SPACED_WORD), F.lit(0)))
     out = out.withColumn("_l", F.filter(F.split("_text", "\n"), lambda x: x.rlike(SPACED_WORD)))
-    out = out.withColumn("_h", F.transform("_w", lambda x: F.xxhash64(x)))
-    windows = F.slice("_h", 1, F.greatest(F.size("_h") - (SPAN - 1), F.lit(0)))
-    gram = lambda x, i: F.xxhash64(x, *(F.col("_h")[i + j] for j in range(1, SPAN)))
-    out = out.withColumn("_g", F.transform(windows, gram))
+    out = out.withColumn("_g", _windows(F.transform("_w", lambda x: F.xxhash64(x))))
     repeats = F.size(F.array_distinct("_g")) < F.size("_g")
     out = out.withColumn("_s", F.when(repeats, _repeated_words("_g")).otherwise(F.array().cast("array<int>")))
     step = F.transform("_s", lambda x, k: F.least(F.lit(SPAN), F.coalesce(F.get("_s", k + 1) - x, F.lit(SPAN))))
@@ -92,8 +95,18 @@ def features(docs: DataFrame) -> DataFrame:
         "n_capitals": F.regexp_count("_text", F.lit("[A-Z]")),
         "n_lines": F.size("_l"),
     }
-    keep = [c for c in docs.columns if c not in counts]
-    return out.select(*keep, *(c.cast("long").alias(n) for n, c in counts.items()))
+    return out.select("_row.*", *(c.cast("long").alias(n) for n, c in counts.items()))
+
+
+def _windows(hashes: Column) -> Column:
+    """Hash of the ``SPAN`` words from each position on."""
+    return F.transform(
+        F.array(hashes),  # binds the array once
+        lambda h: F.transform(
+            F.slice(h, 1, F.greatest(F.size(h) - (SPAN - 1), F.lit(0))),
+            lambda x, i: F.xxhash64(x, *(F.get(h, i + j) for j in range(1, SPAN))),
+        ),
+    )[0]
 
 
 def base_failed() -> Column:
@@ -160,17 +173,27 @@ def thresholds(labelled: DataFrame, stratum: str = "lang") -> DataFrame:
 
 
 def judge(docs: DataFrame, limits: DataFrame, stratum: str = "lang") -> DataFrame:
-    """Documents with features, judged: base_failed, broken (names of the rules they break) and kept."""
+    """Documents with features, judged: base_failed, broken (names of the rules they break) and kept.
+
+    ``docs`` must be a stored table: a filter on the verdict is pushed down to
+    whatever computes the features.
+    """
     own = limits.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "threshold"))).alias("_limits"))
-    keyed = docs.withColumn("_stratum", F.coalesce(F.col(stratum).cast("string"), F.lit("")))
+    keep = [c for c in docs.columns if c not in ("base_failed", "broken", "kept")]
+    keyed = docs.select(
+        row_struct(keep).alias("_row"), *FEATURES, F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("_stratum")
+    )
     joined = keyed.join(own.withColumnRenamed("stratum", "_own"), F.col("_stratum") == F.col("_own"), "left")
     broken = F.transform(
         F.filter(scores(), lambda s: F.coalesce(s["score"] >= F.try_element_at("_limits", s["rule"]), F.lit(False))),
         lambda s: s["rule"],
     )
-    keep = [c for c in docs.columns if c not in ("base_failed", "broken", "kept")]
-    return joined.select(*keep, base_failed().alias("base_failed"), broken.alias("broken")).withColumn(
-        "kept", ~F.col("base_failed") & (F.size("broken") == 0)
+    verdict = joined.select("_row", base_failed().alias("_base"), broken.alias("_broken"))
+    return verdict.select(
+        "_row.*",
+        F.col("_base").alias("base_failed"),
+        F.col("_broken").alias("broken"),
+        (~F.col("_base") & (F.size("_broken") == 0)).alias("kept"),
     )
 
 
@@ -189,9 +212,10 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFra
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """The documents that are kept, unchanged.
 
-    Texts are measured again for the filter: cheaper than a shuffle of all texts.
+    Rows are stored beside their features, one write without a shuffle; the
+    thresholds read the features only, the verdict then filters stored rows.
     """
-    measured = store(features(docs.select("doc_id", stratum, "text")).drop("text"), "measured")
-    limits = thresholds(holdout(measured, labels), stratum)
-    whole = docs.select("doc_id", stratum, "text", F.struct(*docs.columns).alias("_doc"))
-    return judge(features(whole), limits, stratum).where("kept").select("_doc.*")
+    whole = docs.select("doc_id", stratum, "text", row_struct(docs.columns).alias("_doc"))
+    measured = store(features(whole).drop("text"), "measured")
+    limits = thresholds(holdout(measured.select("doc_id", stratum, *FEATURES), labels), stratum)
+    return judge(measured, limits, stratum).where("kept").select("_doc.*")
