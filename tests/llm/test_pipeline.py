@@ -56,7 +56,7 @@ def test_thresholds_and_long_texts_reach_every_stage(spark, tmp_path):
     """Enough labels for a threshold: junk goes by it, long and clean documents stay, a group of copies leaves one."""
     docs, labels = test_quality_rules.labelled(spark, 1500)
     long = [(10_000 + i, prose(20000, 5000 + i)) for i in range(2)]
-    copies = [(20_000 + i, prose(60, 4242)) for i in range(300)]
+    copies = [(20_000 + i, prose(60, 4242) + f" tail{i}") for i in range(300)]
     docs = docs.union(test_quality_rules.docs_of(spark, long + copies))
     docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
