@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from txnflow.llm.chat_format import digests as chat_digests
 from txnflow.llm.chat_format import format_conversations, read_back, text_parts
+from txnflow.llm.collocations import collocations
 from txnflow.llm.common import table
 from txnflow.llm.decontaminate import contamination
 from txnflow.llm.html_text import extract_text
@@ -99,6 +100,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontaminate": op2_decontaminate,
@@ -110,4 +115,5 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_html_text": op10_html_text,
+    "op13_collocations": op13_collocations,
 }

@@ -165,8 +165,28 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
+COLLOCATION_SQL = rf"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang,
+                      unnest(string_split_regex({_LOW.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+cut AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM cut GROUP BY lang),
+spot AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM cut, (VALUES (1), (2), (3), (4)) v(k) WHERE len(w) >= k),
+f AS MATERIALIZED (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g, count(*) AS n FROM spot GROUP BY ALL HAVING count(*) >= 30),
+part AS (SELECT lang, g, k, n AS a, string_split(g, ' ') AS w, unnest(range(1, k)) AS c FROM f WHERE k > 1),
+score AS (SELECT part.*, x.n AS l, y.n AS r, (2000000::HUGEINT * a // (x.n::HUGEINT + y.n))::BIGINT AS s FROM part
+          JOIN f x ON x.lang = part.lang AND x.g = array_to_string(part.w[1:c], ' ')
+          JOIN f y ON y.lang = part.lang AND y.g = array_to_string(part.w[c + 1:part.k], ' ')),
+low AS (SELECT * FROM score QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY s, c) = 1),
+sub AS (SELECT lang, n, string_split(g, ' ') AS w, m, unnest(range(1, k - m + 2)) AS i FROM f, (VALUES (2), (3)) v(m) WHERE k > m),
+around AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS g, max(n) AS n FROM sub GROUP BY ALL),
+free AS (SELECT low.* FROM low LEFT JOIN around USING (lang, g) WHERE around.n IS NULL OR 100 * around.n < 80 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY s DESC, a DESC, g) AS rank FROM free)
+SELECT lang, rank, g AS phrase, a, l, r, total.n AS n, s AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 
 SQL = {
+    "op13_collocations": COLLOCATION_SQL,
     "op6_license_scan": LICENSE_SQL,
     "op8_chat_format": CHAT_SQL,
     "op4_url_filter": URL_SQL,

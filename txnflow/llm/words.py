@@ -74,8 +74,8 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
     return mix(g + np.uint64(k))
 
 
-def chunks(column: pa.Array, word: np.ndarray) -> Iterator[tuple[int, int, Words]]:
-    """(first row, end row, words) over pieces of about ``CHUNK_BYTES``; NULL counts as empty."""
+def chunks(column: pa.Array, word: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Words]]:
+    """(first row, end row, words) over pieces of about ``size`` bytes; NULL counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -86,7 +86,7 @@ def chunks(column: pa.Array, word: np.ndarray) -> Iterator[tuple[int, int, Words
     data = np.frombuffer(column.buffers()[2], dtype=np.uint8) if column.buffers()[2] else np.zeros(0, np.uint8)
     row = 0
     while row < n:
-        end = int(np.searchsorted(offsets, offsets[row] + CHUNK_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1
         end = min(n, max(end, row + 1))
         yield row, end, _cut(data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row], word)
         row = end
