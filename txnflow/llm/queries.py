@@ -17,7 +17,9 @@ from txnflow.llm.line_dedup import dedup_lines
 from txnflow.llm.quality_rules import judged
 from txnflow.llm.secrets_scan import BASE_KINDS, find_secrets, span_list
 from txnflow.llm.sentencepiece_bpe import digests, encode
+from txnflow.llm.sharding import assign_shards
 from txnflow.llm.url_filter import judge_urls
+from txnflow.llm.whitening import whiten
 
 
 def piece_model() -> str:
@@ -100,6 +102,17 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = assign_shards(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
@@ -115,5 +128,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_html_text": op10_html_text,
+    "op11_sharding": op11_sharding,
+    "op12_whitening": op12_whitening,
     "op13_collocations": op13_collocations,
 }
