@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.session import all_of, cut, stored
+from txnflow.session import all_of, stored
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -53,8 +53,9 @@ def insert_ignore(
     With one key set this is one lazy aggregation. With more, whether a row
     enters depends on whether earlier ones did, so it is decided in rounds: in
     each one the rows that come first under all of their keys enter, and the
-    rows in conflict with them leave. One round is enough unless conflicts
-    chain; every round settles at least one row, so the loop ends.
+    rows in conflict with them leave. A round stores one table, its pending
+    rows marked; what is left of it is the next round's input. One round is
+    enough unless conflicts chain; every round settles at least one row.
     """
     rows = incoming.filter(all_of([F.col(k).isNotNull() for k in key_sets[0]]))
     every_key = list(dict.fromkeys(k for keys in key_sets for k in keys))
@@ -68,27 +69,32 @@ def insert_ignore(
     if len(key_sets) == 1:
         return rows
 
-    rank = F.struct(*[c for c in order if c not in every_key], *[c for c in rows.columns if c not in order], *every_key)
-    pending = cut(rows.withColumn("_rank", rank))
+    ranked = [*[c for c in order if c not in every_key], *[c for c in rows.columns if c not in order], *every_key]
+    rank = F.struct(*dict.fromkeys(ranked))
+    pending = rows.withColumn("_rank", rank)
     entered: list[DataFrame] = []
-    while not pending.isEmpty():
-        firsts = pending
-        for keys in key_sets:
-            best = pending.groupBy(*keys).agg(F.min("_rank").alias("_best"))
-            free = F.lit(False)
-            for k in keys:
-                free = free | F.col(k).isNull()
-            ahead = firsts.join(best, list(keys), "left").filter(free | (F.col("_rank") == F.col("_best")))
-            firsts = ahead.drop("_best")
-        firsts = cut(firsts.select(*pending.columns))
+    while True:
+        marked = stored(_mark_firsts(pending, key_sets), "pending")
+        firsts, rest = marked.where("_first"), marked.where("not _first")
         entered.append(firsts)
-        rest = pending
+        if rest.isEmpty():
+            return reduce(DataFrame.unionByName, entered).select(*incoming.columns)
         for keys in key_sets:
             rest = _anti(rest, firsts, keys)
-        pending = cut(rest)
-    if not entered:
-        return rows.limit(0)
-    return reduce(DataFrame.unionByName, entered).select(*incoming.columns)
+        pending = rest.drop("_first")
+
+
+def _mark_firsts(pending: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFrame:
+    """``pending`` with ``_first``: no pending row of lower rank shares a key."""
+    out, first = pending, F.lit(True)
+    for i, keys in enumerate(key_sets):
+        best = pending.groupBy(*keys).agg(F.min("_rank").alias(f"_best{i}"))
+        out = out.join(best, list(keys), "left")
+        free = F.lit(False)
+        for k in keys:
+            free = free | F.col(k).isNull()
+        first = first & (free | (F.col("_rank") == F.col(f"_best{i}")))
+    return out.select(*pending.columns, F.coalesce(first, F.lit(False)).alias("_first"))
 
 
 def returning(delta: DataFrame) -> DataFrame:

@@ -112,8 +112,9 @@ def dirty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw feed in which a tenth of the records is broken by a fixed rule.
 
     Every record is kept. Fault 0-21 loses field n, 22-43 gives it the text
-    "?", 44-65 a JSON null, 66-87 the JSON number 7.5; 88 cuts the text short
-    and 89 makes it an array.
+    "?", 44-65 a JSON null, 66-87 the JSON number 7.5; 88 cuts the text short,
+    89 makes it an array, 90 breaks it over several lines and leaves it open,
+    91 puts two objects into one text and 92 gives the job twice, the last one right.
     """
     n_fields = len(FIELD_NAMES)
     fault = (F.round(F.col("amt") * 100).cast("bigint") % FAULT_CYCLE).cast("int")
@@ -130,6 +131,9 @@ def dirty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (
         F.when(F.col("fault") == 4 * n_fields, F.substring_index(body, ",", 5))
         .when(F.col("fault") == 4 * n_fields + 1, F.concat(F.lit("["), body, F.lit("]")))
+        .when(F.col("fault") == 4 * n_fields + 2, F.replace(F.substring_index(body, ",", 9), F.lit(","), F.lit(",\r\n\n")))
+        .when(F.col("fault") == 4 * n_fields + 3, F.concat(body, F.lit(" "), body))
+        .when(F.col("fault") == 4 * n_fields + 4, F.concat(F.lit('{"job":7,'), F.substring(body, 2, 100000)))
         .otherwise(body)
     )
     return rows.select(value.alias("value"))

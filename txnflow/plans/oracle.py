@@ -2,11 +2,52 @@
 
 from __future__ import annotations
 
-from txnflow.functions.coerce import FALSE_TEXTS, MESSAGES, TRUE_TEXTS
-from txnflow.functions.ids import NAME_PREFIX, OID_NAMESPACE_HEX
-from txnflow.plans.feed import FAULT_CYCLE
-from txnflow.plans.queries import FIRST_LOAD_ENDS
-from txnflow.schema import FIELD_NAMES, RECORD_FIELDS
+# Fixed values, written out here: a wrong one in the package must not pass on both sides.
+OID_NAMESPACE_HEX = "6ba7b8129dad11d180b400c04fd430c8"
+NAME_PREFIX = "something:"
+FIRST_LOAD_ENDS = "1995-01-15 00:00:00"
+SECOND_LOAD_ENDS = "1997-01-15 00:00:00"
+FAULT_CYCLE = 900
+TRUE_TEXTS = ["1", "on", "t", "true", "y", "yes"]
+FALSE_TEXTS = ["0", "off", "f", "false", "n", "no"]
+RECORD_FIELDS = [
+    ("trans_date_trans_time", "datetime"),
+    ("cc_num", "string"),
+    ("merchant", "string"),
+    ("category", "string"),
+    ("amt", "float"),
+    ("first", "string"),
+    ("last", "string"),
+    ("gender", "string"),
+    ("street", "string"),
+    ("city", "string"),
+    ("state", "string"),
+    ("zip", "int"),
+    ("lat", "float"),
+    ("long", "float"),
+    ("city_pop", "int"),
+    ("job", "string"),
+    ("dob", "string"),
+    ("trans_num", "string"),
+    ("unix_time", "string"),
+    ("merch_lat", "float"),
+    ("merch_long", "float"),
+    ("is_fraud", "bool"),
+]
+FIELD_NAMES = [name for name, _ in RECORD_FIELDS]
+MESSAGES = {
+    "missing": "Field required",
+    "string_type": "Input should be a valid string",
+    "bool_type": "Input should be a valid boolean",
+    "bool_parsing": "Input should be a valid boolean, unable to interpret input",
+    "int_type": "Input should be a valid integer",
+    "int_parsing": "Input should be a valid integer, unable to parse string as an integer",
+    "int_from_float": "Input should be a valid integer, got a number with a fractional part",
+    "float_type": "Input should be a valid number",
+    "float_parsing": "Input should be a valid number, unable to parse string as a number",
+    "datetime_type": "Input should be a valid datetime",
+    "datetime_from_date_parsing": "Input should be a valid datetime or date",
+}
 
 FEED = """
 feed AS (
@@ -142,9 +183,16 @@ _members = ", ".join(_member(i, name) for i, name in enumerate(FIELD_NAMES))
 DIRTY = f"""{FEED},
 texts AS (SELECT CAST(CAST(round(amt * 100) AS BIGINT) % {FAULT_CYCLE} AS INTEGER) AS fault, {_text_cols} FROM feed),
 bodies AS (SELECT fault, '{{' || concat_ws(',', {_members}) || '}}' AS body FROM texts),
-dirty AS (SELECT CASE WHEN fault = {_n4} THEN array_to_string(string_split(body, ',')[1:5], ',')
-                      WHEN fault = {_n4 + 1} THEN '[' || body || ']' ELSE body END AS value FROM bodies),
-marked AS (SELECT value, CASE WHEN json_valid(value) THEN json_type(value) <> 'OBJECT' ELSE true END AS malformed
+dirty AS (SELECT fault, body, CASE WHEN fault = {_n4} THEN array_to_string(string_split(body, ',')[1:5], ',')
+                      WHEN fault = {_n4 + 1} THEN '[' || body || ']'
+                      WHEN fault = {_n4 + 2} THEN array_to_string(string_split(body, ',')[1:9], ',' || chr(13) || chr(10) || chr(10))
+                      WHEN fault = {_n4 + 3} THEN body || ' ' || body
+                      WHEN fault = {_n4 + 4} THEN '{{"job":7,' || substr(body, 2)
+                      ELSE body END AS value FROM bodies),
+marked AS (SELECT fault, value, CASE WHEN fault = {_n4 + 4} THEN body ELSE value END AS parsed,
+                  CASE WHEN fault = {_n4 + 3} THEN true
+                       WHEN json_valid(value) THEN json_type(value) <> 'OBJECT' ELSE true END AS malformed,
+                  CASE WHEN fault = {_n4 + 3} OR fault = {_n4 + 4} THEN body WHEN json_valid(value) THEN value END AS first_object
            FROM dirty)"""
 
 _NUMBERS = "('DOUBLE', 'UBIGINT', 'BIGINT', 'HUGEINT')"
@@ -188,12 +236,12 @@ def _error(name: str, kind: str) -> str:
     )
 
 
-_types = ", ".join(f"json_type(value, '$.{n}') AS t_{n}, value ->> '$.{n}' AS x_{n}" for n in FIELD_NAMES)
+_types = ", ".join(f"json_type(parsed, '$.{n}') AS t_{n}, parsed ->> '$.{n}' AS x_{n}" for n in FIELD_NAMES)
 _values = ", ".join(f"{_value(k, f't_{n}', f'x_{n}')} AS v_{n}" for n, k in RECORD_FIELDS)
 _errors = ", ".join(f"{_error(n, k)} AS e_{n}" for n, k in RECORD_FIELDS)
 _any_error = "coalesce(" + ", ".join(f"e_{n}" for n in FIELD_NAMES) + ")"
 ROUTED = f"""{DIRTY},
-formed AS (SELECT CASE WHEN malformed THEN NULL ELSE value END AS value FROM marked WHERE NOT malformed),
+formed AS (SELECT value, CASE WHEN malformed THEN NULL ELSE parsed END AS parsed FROM marked WHERE NOT malformed),
 members AS (SELECT value, {_types} FROM formed),
 typed AS (SELECT *, {_values} FROM members),
 checked AS (SELECT *, {_errors} FROM typed),
@@ -223,6 +271,22 @@ def _events(select: str) -> str:
       value AS latency, epoch_us(ts) // 1000 AS timestamp_ms FROM events) {select}"""
 
 
+def _rounds(rows: str, order: str, columns: str) -> str:
+    """Rows taken in order while both of their keys, id and label, are free: rounds of a recursion."""
+    return f"""WITH RECURSIVE src AS ({rows}),
+ranked AS (SELECT *, row_number() OVER (ORDER BY {order}) AS n FROM src WHERE id IS NOT NULL),
+step AS (
+  SELECT *, false AS entered FROM ranked
+  UNION ALL
+  SELECT * EXCLUDE (first, by_id, by_label), first AS entered FROM (
+    SELECT *, bool_or(first) OVER (PARTITION BY id) AS by_id, bool_or(first) OVER (PARTITION BY label) AS by_label FROM (
+      SELECT * EXCLUDE (entered), n = min(n) OVER (PARTITION BY id) AND n = min(n) OVER (PARTITION BY label) AS first
+      FROM step WHERE NOT entered))
+  WHERE first OR NOT (by_id OR by_label)
+)
+SELECT {columns} FROM step WHERE entered"""
+
+
 _MILLIS = "strftime(make_timestamp({} * 1000), '%Y-%m-%d %H:%M:%S.%f')"
 
 ORACLE: dict[str, str] = {
@@ -308,9 +372,24 @@ ORACLE: dict[str, str] = {
     "frame_roundtrip": _with(FEED, f"SELECT {_text_cols} FROM feed"),
     "frame_strip": _with(
         DIRTY,
-        """SELECT count(*) AS n,
-             count(CASE WHEN NOT malformed THEN value ->> '$.trans_num' END) AS n_num,
-             count(CASE WHEN NOT malformed THEN value ->> '$.cc_num' END) AS n_card FROM marked""",
+        """SELECT CASE WHEN json_type(o) = 'OBJECT' THEN o ->> '$.trans_num' END AS trans_num,
+                  CASE WHEN json_type(o) = 'OBJECT' THEN o ->> '$.cc_num' END AS cc_num,
+                  CASE WHEN json_type(o) = 'OBJECT' THEN o ->> '$.merchant' END AS merchant,
+                  CASE WHEN json_type(o) = 'OBJECT' THEN o ->> '$.amt' END AS amt
+           FROM (SELECT first_object AS o FROM marked)""",
+    ),
+    "frame_by_schema": _with(
+        f"{FEED}, numbered AS (SELECT *, CAST(round(amt * 100) AS BIGINT) % 4 AS k FROM feed)",
+        """SELECT CASE k WHEN 0 THEN 7 WHEN 1 THEN 8 WHEN 2 THEN 9 ELSE 77 END::BIGINT AS schema_id,
+                  CASE WHEN k = 3 THEN 'schema' END AS reason, trans_num, CASE WHEN k < 3 THEN amt END AS amt,
+                  CASE WHEN k < 2 THEN job WHEN k = 2 THEN 'unknown' END AS job,
+                  CASE WHEN k < 2 THEN city_pop WHEN k = 2 THEN -1 END AS city_pop FROM numbered""",
+    ),
+    "message_load": _with(STAGING, _FACT),
+    "stream_audit": _events(
+        f"""SELECT topic, "partition", count(*) AS messages, max("offset") AS last_offset,
+                   round(avg(latency), 6) AS avg_latency, {_MILLIS.format('max(timestamp_ms)')} AS last_time
+            FROM sent GROUP BY topic, "partition" """
     ),
     "delivery_audit": _events(
         f"""SELECT topic, "partition", count(*) AS messages, max("offset") AS last_offset,
@@ -377,6 +456,18 @@ ORACLE: dict[str, str] = {
            SELECT DISTINCT merchant_category_id, merchant_id, category_id, 2 FROM two
            WHERE merchant_category_id IN (SELECT merchant_category_id FROM new_bridge)""",
     ),
+    "insert_ignore_two_keys": _rounds(
+        """SELECT concat_ws('-', l_orderkey, l_linenumber) AS id, concat_ws('-', l_orderkey, l_quantity) AS label,
+                  l_extendedprice AS price, concat_ws('-', l_partkey, l_suppkey) AS part FROM lineitem""",
+        "price, part, id, label",
+        "id, label, price, part",
+    ),
+    "insert_ignore_chain": _rounds(
+        """SELECT c_custkey // 40 * 100 + (c_custkey % 40 + 1) // 2 AS id, c_custkey // 40 * 100 + c_custkey % 40 // 2 AS label,
+                  c_custkey FROM customer""",
+        "c_custkey, id, label",
+        "id, label, c_custkey",
+    ),
     "known_rows": _with(
         _LOADS,
         """SELECT id, category_id, merchant_id, city_id FROM two WHERE category_id IN (SELECT category_id FROM one)
@@ -392,6 +483,12 @@ ORACLE: dict[str, str] = {
             f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct FROM coords" for c in _PROFILED
         ),
     ),
+    "distinct_sketches": _with(
+        f"{FEED}, coords AS (SELECT *, CAST(lat AS VARCHAR) || ', ' || CAST(long AS VARCHAR) AS coord FROM feed)",
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, true AS within FROM coords" for c in _PROFILED
+        ),
+    ),
     "value_counts": _with(FEED, "SELECT category, count(*) AS n FROM feed GROUP BY category"),
     "distinct_rows": _with(FEED, "SELECT DISTINCT street, city, zip, lat, long FROM feed"),
     "duplicated_rows": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (
@@ -416,6 +513,10 @@ ORACLE: dict[str, str] = {
         FEED,
         "SELECT street, count(DISTINCT zip) AS n_values FROM feed GROUP BY street HAVING count(DISTINCT zip) > 1",
     ),
+    "fd_street_card": _with(
+        FEED,
+        "SELECT street, count(DISTINCT cc_num) AS n_values FROM feed GROUP BY street HAVING count(DISTINCT cc_num) > 1",
+    ),
     "top_k": _with(FEED, "SELECT amt, trans_num, category FROM feed ORDER BY amt, trans_num LIMIT 20"),
     "tail_k": _with(FEED, "SELECT amt, trans_num, category FROM feed ORDER BY amt DESC, trans_num DESC LIMIT 5"),
     "renumber": _with(
@@ -429,10 +530,18 @@ ORACLE: dict[str, str] = {
     "csv_inferred": _with(FEED, "SELECT trans_num, amt, zip, city_pop, first FROM feed"),
     "stream_load": _with(STAGING, _FACT),
     "stream_replay": _with(STAGING, _FACT),
+    "compacted_model": _with(STAGING, _FACT),
+    "stream_first_seen": _with(
+        f"""{STAGING},
+        sent AS (SELECT id, transaction_ts, amount, transaction_ts < TIMESTAMP '{FIRST_LOAD_ENDS}' AS early,
+                        CAST(round(amount * 100) AS BIGINT) % 10 = 0 AS held FROM staging),
+        mark AS (SELECT max(transaction_ts) - INTERVAL 30 DAY AS w FROM sent WHERE early AND NOT held)""",
+        """SELECT id, transaction_ts, amount FROM sent, mark WHERE NOT early OR NOT held OR transaction_ts > w""",
+    ),
     "batch_tables": _with(
         STAGING,
         " UNION ALL ".join(
-            f"SELECT '{name}' AS table_name, count(DISTINCT {col}) AS n FROM staging"
+            f"SELECT DISTINCT '{name}' AS table_name, {col} AS id FROM staging"
             for name, col in [
                 ("category", "category_id"),
                 ("merchant", "merchant_id"),

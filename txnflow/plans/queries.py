@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnflow.functions import text as X
 from txnflow.functions.ids import register_sql_functions
@@ -17,17 +18,22 @@ from txnflow.operators.insert import append, insert_ignore
 from txnflow.operators.joins import denormalise, known_only, not_stored
 from txnflow.operators.project import columns_used, create_id_cols, drop_columns, drop_leading, select_remaining, to_staging
 from txnflow.plans.feed import as_text_fields, dirty_feed, feed, raw_feed, table
-from txnflow.schema import FIELD_NAMES, RAW_SCHEMA, TABLES
-from txnflow.session import configure, new_folder
+from txnflow.schema import FIELD_NAMES, RAW_SCHEMA, RECORD_SCHEMA, TABLES
+from txnflow.session import configure, new_folder, stored
 from txnflow.sinks.files import read_route, route_sinks, write_json_objects
 from txnflow.sources import csv as csv_source
-from txnflow.sources.tables import create_tables, read_table, scan_ids, scan_orphans, scan_staging
+from txnflow.sources.tables import compact, create_tables, read_table, scan_ids, scan_orphans, scan_staging
+from txnflow.streaming import messages as message_streams
+from txnflow.streaming.first_seen import start_first_seen
 from txnflow.streaming.load import load_batch, load_staged, write_staging
 from txnflow.streaming.start import start_ingest, start_load, wait
 
 # Rows before this time are the earlier load in the queries with two loads.
 FIRST_LOAD_ENDS = "1995-01-15 00:00:00"
+SECOND_LOAD_ENDS = "1997-01-15 00:00:00"
 SCHEMA_ID = 7
+#: Files of about so many bytes make a micro-batch, however many wait.
+BATCH_BYTES = 64 << 20
 
 
 def clean_feed(spark: SparkSession, sf: str) -> DataFrame:
@@ -227,34 +233,80 @@ def frame_roundtrip(spark, sf):
 def frame_strip(spark, sf):
     """Frames cut without looking at the header; payloads that are not JSON give NULLs."""
     dirty = frames.encode_frame(dirty_feed(spark, sf), SCHEMA_ID)
-    decoded = frames.decode_messages(dirty, RAW_SCHEMA)
-    return decoded.agg(
-        F.count(F.lit(1)).alias("n"), F.count("trans_num").alias("n_num"), F.count("cc_num").alias("n_card")
+    return frames.decode_messages(dirty, RAW_SCHEMA).select("trans_num", "cc_num", "merchant", "amt")
+
+
+#: Registered schemas by id: all fields as text; the amount under an earlier name; no job and no population.
+SCHEMAS = {
+    SCHEMA_ID: RAW_SCHEMA,
+    8: T.StructType([T.StructField("amount" if f.name == "amt" else f.name, f.dataType) for f in RAW_SCHEMA.fields]),
+    9: T.StructType([f for f in RAW_SCHEMA.fields if f.name not in ("job", "city_pop")]),
+}
+DEFAULTS = {"job": "unknown", "city_pop": -1}
+ALIASES = {"amt": ["amount"]}
+
+
+def _frames(rows, number):
+    """Records as text fields in frames of the schema ``number`` (a column): 7, 8, 9, or 77, which nobody registered."""
+    row = lambda skip, names: F.to_json(F.struct(*[F.col(n).alias(names.get(n, n)) for n in FIELD_NAMES if n not in skip]))
+    text = (
+        F.when(number == 8, row((), {"amt": "amount"}))
+        .when(number == 9, row(("job", "city_pop"), {}))
+        .otherwise(row((), {}))
     )
+    return frames.encode_frame(rows.select(text.alias("value"), number.alias("number")), F.col("number")).select("value")
 
 
-def delivery_audit(spark, sf):
+def frame_by_schema(spark, sf):
+    """Each frame decoded by the schema its header names; frames of unknown ids kept aside."""
+    cents = F.round(F.col("amt").cast("double") * 100).cast("bigint")
+    number = F.element_at(F.array(*(F.lit(n) for n in (7, 8, 9, 77))), (cents % 4 + 1).cast("int"))
+    decoded = frames.decode_by_schema(_frames(as_text_fields(feed(spark, sf)), number), SCHEMAS, RECORD_SCHEMA, DEFAULTS, ALIASES)
+    rows = decoded.select("schema_id", "reason", "record.trans_num", "record.amt", "record.job", "record.city_pop", "value")
+    lost = F.get_json_object(F.substring("value", 6, 100000).cast("string"), "$.trans_num")
+    return rows.withColumn("trans_num", F.coalesce("trans_num", lost)).drop("value")
+
+
+def message_load(spark, sf):
+    """Framed messages as a stream through the whole chain: frame, schema, ids, staging, model; the facts."""
+    folder, root = new_folder(spark, "frames"), new_folder(spark, "model")
     configure(spark)
-    sent = table(spark, sf, "events").select(
-        F.col("event_type").alias("topic"),
-        (F.col("user_id") % 4).cast("int").alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.col("value").alias("latency"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp_ms"),
-    )
-    return messages.delivery_audit(sent).withColumn("avg_latency", F.round("avg_latency", 6))
+    rows = as_text_fields(feed(spark, sf))
+    fraud = F.col("is_fraud") == "1"
+    # fraud goes under an unknown id, so it must end aside
+    _frames(rows, F.when(fraud, F.lit(77)).when(F.length("merchant") % 2 == 0, F.lit(8)).otherwise(F.lit(SCHEMA_ID))).write.parquet(folder)
+    stream = message_streams.stream_frames(spark, folder, bytes_per_trigger=BATCH_BYTES)
+    wait(message_streams.start_messages(stream, root, new_folder(spark, "check"), SCHEMAS, DEFAULTS, ALIASES, None))
+    return _naive(read_table(spark, root, "transactions").select(*TABLES["transactions"].columns))
 
 
-def delivery_report(spark, sf):
+def _sent(spark, sf):
     configure(spark)
-    sent = table(spark, sf, "events").select(
+    return table(spark, sf, "events").select(
         F.col("event_type").alias("topic"),
         (F.col("user_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("value").alias("latency"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp_ms"),
     )
-    return messages.delivery_report(sent)
+
+
+def delivery_audit(spark, sf):
+    return messages.delivery_audit(_sent(spark, sf)).withColumn("avg_latency", F.round("avg_latency", 6))
+
+
+def stream_audit(spark, sf):
+    """The same as a stream: a running aggregate in update mode, its newest states."""
+    folder, root = new_folder(spark, "sent"), new_folder(spark, "audit")
+    _sent(spark, sf).repartition(4, "partition").write.parquet(folder)
+    schema = "topic string, partition int, offset bigint, latency double, timestamp_ms bigint"
+    sent = spark.readStream.schema(schema).options(**csv_source.admission(bytes_per_trigger=64 << 10)).parquet(folder)
+    wait(message_streams.start_audit(sent, root, new_folder(spark, "check"), None))
+    return message_streams.read_audit(spark, root).withColumn("avg_latency", F.round("avg_latency", 6))
+
+
+def delivery_report(spark, sf):
+    return messages.delivery_report(_sent(spark, sf))
 
 
 # constraints
@@ -374,6 +426,16 @@ def insert_ignore_two_keys(spark, sf):
     return insert_ignore(None, lines, [["id"], ["label"]], ["price", "part"])
 
 
+def insert_ignore_chain(spark, sf):
+    """Chains of 40 rows, each in conflict with the one before it, by one key and the other in turn."""
+    place = F.col("c_custkey") % 40
+    group = F.floor(F.col("c_custkey") / 40).cast("long") * 100
+    rows = table(spark, sf, "customer").select(
+        (group + F.floor((place + 1) / 2)).alias("id"), (group + F.floor(place / 2)).alias("label"), "c_custkey"
+    )
+    return insert_ignore(None, rows, [["id"], ["label"]], ["c_custkey"])
+
+
 def known_rows(spark, sf):
     """Rows of the second load whose category, merchant and city the first one stored."""
     first, second = _two_loads(spark, sf)
@@ -428,6 +490,19 @@ def distinct_counts(spark, sf):
     return profile.distinct_counts(rows, _PROFILED)
 
 
+def distinct_sketches(spark, sf):
+    """Sketches of each year's load, stored and merged: within 5 % (three standard errors) of the exact counts."""
+    rows = feed(spark, sf).withColumn("coord", X.comma_pair(F.col("lat"), F.col("long"))).withColumn("year", F.year("trans_date_trans_time"))
+    per_load = rows.groupBy("year").agg(
+        *[F.hll_sketch_agg(F.col(c).cast("string"), F.lit(profile.LOG_REGISTERS)).alias(c) for c in _PROFILED]
+    )
+    kept = stored(per_load.unpivot(["year"], _PROFILED, "column_name", "sketch"), "sketches")
+    guess = profile.distinct_from_sketches(kept).withColumnRenamed("n_distinct", "guess")
+    exact = profile.distinct_counts(rows, _PROFILED)
+    near = F.abs(F.col("guess") - F.col("n_distinct")) <= F.ceil(0.05 * F.col("n_distinct"))
+    return exact.join(guess, "column_name").select("column_name", "n_distinct", near.alias("within"))
+
+
 def value_counts(spark, sf):
     return profile.value_counts(feed(spark, sf).withColumn("len", F.length("cc_num")), "category")
 
@@ -458,6 +533,11 @@ def fd_street_zip(spark, sf):
     return profile.functional_dependency(feed(spark, sf), ["street"], "zip")
 
 
+def fd_street_card(spark, sf):
+    """Streets with several cards: a pair without a dependency."""
+    return profile.functional_dependency(feed(spark, sf), ["street"], "cc_num")
+
+
 _TX = ["amt", "trans_num", "category"]
 
 
@@ -498,18 +578,12 @@ def csv_inferred(spark, sf):
     return rows.select("trans_num", "amt", "zip", "city_pop", "first")
 
 
-def _raw_files(spark, sf) -> tuple[str, int]:
-    """The raw feed as text files, and how many of them make a third."""
-    folder = new_folder(spark, "raw")
-    raw_feed(spark, sf).write.text(folder)
-    return folder, -(-len(spark.read.text(folder).inputFiles()) // 3)
-
-
 def stream_load(spark, sf):
     """Raw records as a stream of files: validated, routed, normalised; the facts."""
-    folder, per_trigger = _raw_files(spark, sf)
-    root = new_folder(spark, "model")
-    wait(start_ingest(csv_source.stream_records(spark, folder, per_trigger), root, new_folder(spark, "check"), None))
+    folder, root = new_folder(spark, "raw"), new_folder(spark, "model")
+    raw_feed(spark, sf).write.text(folder)
+    raw = csv_source.stream_records(spark, folder, bytes_per_trigger=BATCH_BYTES)
+    wait(start_ingest(raw, root, new_folder(spark, "check"), None))
     return _naive(read_table(spark, root, "transactions").select(*TABLES["transactions"].columns))
 
 
@@ -520,27 +594,61 @@ def stream_replay(spark, sf):
     clean = as_text_fields(clean_feed(spark, sf)).select(F.lit("0").alias("_c0"), *FIELD_NAMES)
     clean.write.option("header", True).csv(folder)
     root = new_folder(spark, "model")
-    per_trigger = -(-len(spark.read.csv(folder).inputFiles()) // 2)
     for _ in range(2):
-        records = csv_source.stream_csv_typed(spark, folder, per_trigger).drop("_c0")
+        records = csv_source.stream_csv_typed(spark, folder, bytes_per_trigger=BATCH_BYTES).drop("_c0")
         wait(start_load(records, root, new_folder(spark, "check"), None))
     return _naive(read_table(spark, root, "transactions").select(*TABLES["transactions"].columns))
 
 
+def stream_first_seen(spark, sf):
+    """Three loads with late and repeated rows, the stream restarted for each: first-seen rows within a watermark.
+
+    A tenth of the first load's rows comes with the second; those older than 30
+    days by then are late. Both later loads repeat rows of the one before.
+    """
+    rows = stored(staging(spark, sf).select("id", "transaction_ts", "amount"), "rows")
+    at, held = F.col("transaction_ts"), F.round(F.col("amount") * 100).cast("bigint") % 10 == 0
+    one, two = F.lit(FIRST_LOAD_ENDS).cast("timestamp"), F.lit(SECOND_LOAD_ENDS).cast("timestamp")
+    days = lambda n: F.expr(f"interval {n} days")
+    first = rows.filter((at < one) & ~held)
+    second = rows.filter((at >= one) & (at < two))
+    repeats = first.filter(at >= one - days(20))
+    loads = [
+        first,
+        second.unionByName(second.filter(held)).unionByName(repeats).unionByName(rows.filter((at < one) & held)),
+        rows.filter(at >= two).unionByName(second.filter(at >= two - days(60))),
+    ]
+    folder, root, check = (new_folder(spark, n) for n in ("in", "seen", "check"))
+    for load in loads:
+        load.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(rows.schema).parquet(folder)
+        wait(start_first_seen(stream, root, check, ["id"], "transaction_ts", "30 days", None))
+    return _naive(spark.read.schema(rows.schema).parquet(root).select(*rows.columns))
+
+
 def batch_tables(spark, sf):
-    """One batch through the stored model; rows per table."""
+    """One batch through the stored model; the ids of every table."""
     root = new_folder(spark, "model")
     load_batch(clean_feed(spark, sf), root, "only")
-    counts = [
-        scan_ids(read_table(spark, root, name)).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
-        for name in TABLES
-    ]
-    out = counts[0]
-    for c in counts[1:]:
+    ids = [scan_ids(read_table(spark, root, name)).select(F.lit(name).alias("table_name"), "id") for name in TABLES]
+    out = ids[0]
+    for c in ids[1:]:
         out = out.union(c)
     return out
 
 
+def compacted_model(spark, sf):
+    """Two loads, each folded into a segment, the segments merged, one load repeated after that: the facts."""
+    root = new_folder(spark, "model")
+    rows = stored(clean_feed(spark, sf), "records")
+    early = F.col("trans_date_trans_time") < FIRST_LOAD_ENDS
+    for load_id, part in (("first", rows.filter(early)), ("second", rows.filter(~early))):
+        load_batch(part, root, load_id)
+        compact(spark, root, fan=2)
+    load_batch(rows.filter(~early), root, "second")
+    return _naive(read_table(spark, root, "transactions").select(*TABLES["transactions"].columns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spend_by_category_state": spend_by_category_state,
     "ids_all": ids_all,
@@ -561,7 +669,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keyed_message": keyed_message,
     "frame_roundtrip": frame_roundtrip,
     "frame_strip": frame_strip,
+    "frame_by_schema": frame_by_schema,
+    "message_load": message_load,
     "delivery_audit": delivery_audit,
+    "stream_audit": stream_audit,
     "delivery_report": delivery_report,
     "check_range": check_range,
     "check_not_null": check_not_null,
@@ -583,11 +694,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gated_fact_row": gated_fact_row,
     "insert_ignore_two_loads": insert_ignore_two_loads,
     "insert_ignore_two_keys": insert_ignore_two_keys,
+    "insert_ignore_chain": insert_ignore_chain,
     "known_rows": known_rows,
     "new_address_rows": new_address_rows,
     "denormalised": denormalised,
     "orphan_facts": orphan_facts,
     "distinct_counts": distinct_counts,
+    "distinct_sketches": distinct_sketches,
     "value_counts": value_counts,
     "distinct_rows": distinct_rows,
     "duplicated_rows": duplicated_rows,
@@ -595,6 +708,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile": profile_columns,
     "fd_violations": fd_violations,
     "fd_street_zip": fd_street_zip,
+    "fd_street_card": fd_street_card,
     "top_k": top_k,
     "tail_k": tail_k,
     "renumber": renumber,
@@ -603,5 +717,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_inferred": csv_inferred,
     "stream_load": stream_load,
     "stream_replay": stream_replay,
+    "stream_first_seen": stream_first_seen,
     "batch_tables": batch_tables,
+    "compacted_model": compacted_model,
 }

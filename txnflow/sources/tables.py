@@ -4,7 +4,9 @@
 ``load_id`` partitions, with overwrite, so running it again replaces what it
 wrote before and touches nothing else. Facts are also partitioned by month: a
 transaction id contains the timestamp, so a batch is compared with the stored
-facts of its own months only.
+facts of its own months only, and of those only with the ones that the index of
+stored ids cannot rule out. ``compact`` folds loads into segments; which folders
+are read is said by the newest snapshot.
 """
 
 from __future__ import annotations
@@ -14,6 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnflow.schema import RECORD_SCHEMA, STAGING_COLUMNS, TABLES
+from txnflow.session import stored
+from txnflow.sources import fact_index
+from txnflow.sources.snapshots import Snapshot, commit, current, next_snapshot, open_model, read_parts, segment_folder
 
 _RECORD_TYPES = {f.name: f.dataType for f in RECORD_SCHEMA.fields}
 _RETYPED = {"birth_date": T.DateType(), "zip": T.StringType()}
@@ -50,50 +55,167 @@ def month_of(ts: Column) -> Column:
 # application id and root of the tables this process has made or found
 _present: set[tuple[str, str]] = set()
 
+#: Segments of one level that are merged into one of the next.
+FAN = 4
+
 
 def create_tables(spark: SparkSession, root: str) -> None:
     """Make empty tables where there are none; looked at once for each root."""
     key = (spark.sparkContext.applicationId, root)
     if key in _present:
         return
+    open_model(spark, root)
+    _create_generation(spark, root, current(spark, root))
     _present.add(key)
-    for name in TABLES:
-        schema = T.StructType([f for f in table_schema(name).fields if f not in (LOAD, MONTH)])
-        folder = f"{root}/{name}/load_id=none" + ("/ym=0" if name in BY_MONTH else "")
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(folder)
-    spark.createDataFrame([], STAGING_SCHEMA).write.mode("ignore").parquet(f"{root}/{ORPHANS}/load_id=none")
 
 
-def read_table(spark: SparkSession, root: str, name: str, months: Months | None = None) -> DataFrame:
-    df = spark.read.schema(table_schema(name)).parquet(f"{root}/{name}")
-    if months is not None and name in BY_MONTH:
-        df = df.filter(F.col("ym").isin(months))
-    return df
+def _plain(name: str) -> T.StructType:
+    """The columns that the files of a load hold."""
+    return T.StructType([f for f in _schema(name).fields if f not in (LOAD, MONTH)])
+
+
+def _schema(name: str) -> T.StructType:
+    if name == ORPHANS:
+        return T.StructType([*STAGING_SCHEMA.fields, LOAD])
+    if name == fact_index.NAME:
+        return T.StructType([*fact_index.SCHEMA.fields, LOAD])
+    return table_schema(name)
+
+
+def _create_generation(spark: SparkSession, root: str, snapshot: Snapshot) -> None:
+    for name in (*TABLES, ORPHANS, fact_index.NAME):
+        folder = f"{snapshot.folder(root, name)}/load_id=none" + ("/ym=0" if name in BY_MONTH else "")
+        spark.createDataFrame([], _plain(name)).write.mode("ignore").parquet(folder)
+
+
+def _loads(spark: SparkSession, root: str, snapshot: Snapshot, name: str) -> DataFrame:
+    """Rows of the current generation."""
+    return spark.read.schema(_schema(name)).parquet(snapshot.folder(root, name))
+
+
+def _folded(spark: SparkSession, root: str, snapshot: Snapshot, name: str) -> DataFrame | None:
+    """Rows of the live segments, if there are any."""
+    live = [s for s, _ in snapshot.segments]
+    return read_parts(spark, root, name, _schema(name), live) if live else None
+
+
+def _both(loads: DataFrame, folded: DataFrame | None) -> DataFrame:
+    return loads if folded is None else loads.unionByName(folded)
+
+
+def _of_months(df: DataFrame, name: str, months: Months | None) -> DataFrame:
+    return df if months is None or name not in BY_MONTH else df.filter(F.col(MONTH.name).isin(months))
+
+
+def read_table(
+    spark: SparkSession, root: str, name: str, months: Months | None = None, snapshot: Snapshot | None = None
+) -> DataFrame:
+    """One table of the newest snapshot, or of a given one."""
+    now = snapshot or current(spark, root)
+    return _of_months(_both(_loads(spark, root, now, name), _folded(spark, root, now, name)), name, months)
 
 
 def stored_before(
-    spark: SparkSession, root: str, load_id: str, months: Months | None = None
+    spark: SparkSession, root: str, load_id: str, months: Months | None = None, snapshot: Snapshot | None = None
 ) -> dict[str, DataFrame]:
-    """All tables without what this load itself wrote in an earlier attempt."""
-    return {
-        name: read_table(spark, root, name, months).filter(F.col("load_id") != load_id).select(*TABLES[name].columns)
-        for name in TABLES
-    }
+    """All tables without what this load itself wrote in an earlier attempt.
+
+    What was folded since counts as stored: a repeated load adds nothing to it.
+    """
+    now = snapshot or current(spark, root)
+    out = {}
+    for name, table in TABLES.items():
+        loads = _loads(spark, root, now, name).filter(F.col("load_id") != load_id)
+        out[name] = _of_months(_both(loads, _folded(spark, root, now, name)), name, months).select(*table.columns)
+    return out
+
+
+def stored_index(
+    spark: SparkSession, root: str, load_id: str, months: Months, snapshot: Snapshot | None = None
+) -> DataFrame:
+    """The index of the stored fact ids of some months, without this load's own; ``part`` tells its parts apart."""
+    now = snapshot or current(spark, root)
+    name = fact_index.NAME
+    loads = _loads(spark, root, now, name).filter(F.col("load_id") != load_id)
+    return _both(loads, _folded(spark, root, now, name)).filter(F.col("ym").isin(months)).withColumnRenamed("load_id", "part")
+
+
+def near_facts(
+    spark: SparkSession, root: str, load_id: str, incoming: DataFrame, months: Months, snapshot: Snapshot | None = None
+) -> DataFrame:
+    """The stored facts that incoming facts (id, ym) may be equal to.
+
+    The index is asked first. Where it rules out every id no fact is read;
+    otherwise the ids it leaves are stored, and where they are few Spark
+    broadcasts them into a scan of the months' facts, which are not shuffled.
+    """
+    now = snapshot or current(spark, root)
+    maybe = stored(fact_index.maybe_stored(incoming, stored_index(spark, root, load_id, months, now)), "maybe")
+    facts = stored_before(spark, root, load_id, months, now)["transactions"]
+    if maybe.isEmpty():
+        return spark.createDataFrame([], facts.schema)
+    return facts.join(maybe, "id", "left_semi")
+
+
+def write_index(spark: SparkSession, root: str, load_id: str, snapshot: Snapshot | None = None) -> None:
+    """Index the facts that a load has written."""
+    now = snapshot or current(spark, root)
+    # only this load's own folder is listed
+    base = now.folder(root, "transactions")
+    facts = spark.read.schema("id string, ym int").parquet(f"{base}/load_id={load_id}")
+    target = f"{now.folder(root, fact_index.NAME)}/load_id={load_id}"
+    fact_index.build(facts).write.mode("overwrite").parquet(target)
+
+
+def compact(spark: SparkSession, root: str, fan: int = FAN) -> Snapshot:
+    """Fold the loads of the current generation into one segment of each table; returns the new snapshot.
+
+    Everything is written before the snapshot is committed: a failure on the
+    way leaves the old one in force, and folding again starts anew. Fact ids
+    are indexed again, so an id is asked for once a segment.
+    """
+    now = current(spark, root)
+    new, merged = next_snapshot(now, fan)
+    segment = new.segments[-1][0]
+    for name in (*TABLES, ORPHANS):
+        rows = _loads(spark, root, now, name)
+        if merged:
+            rows = rows.unionByName(read_parts(spark, root, name, _schema(name), merged))
+        target = segment_folder(root, name, segment)
+        if name in BY_MONTH:
+            rows.hint("rebalance", MONTH.name).write.mode("overwrite").partitionBy(MONTH.name).parquet(target)
+        else:
+            rows.hint("rebalance").write.mode("overwrite").parquet(target)
+    facts = spark.read.schema("id string, ym int").parquet(segment_folder(root, "transactions", segment))
+    index = fact_index.build(facts).withColumn("load_id", F.lit(segment))
+    index.write.mode("overwrite").parquet(segment_folder(root, fact_index.NAME, segment))
+    _create_generation(spark, root, new)
+    commit(spark, root, new)
+    return new
 
 
 def scan_staging(spark: SparkSession, root: str, load_id: str | None = None, accepted: bool = True) -> DataFrame:
-    """Staging rows, of one load if named; the refused ones with their reasons if not ``accepted``."""
+    """Staging rows, of one load if named; the refused ones with their reasons if not ``accepted``.
+
+    Of a named load only its own folder is listed.
+    """
     violated = T.StructField("violated", T.ArrayType(T.StringType()), True)
-    df = spark.read.schema(T.StructType([*STAGING_SCHEMA.fields, violated, LOAD])).parquet(f"{root}/staging")
-    if load_id is not None:
-        df = df.filter(F.col("load_id") == load_id)
+    reader = spark.read.schema(T.StructType([*STAGING_SCHEMA.fields, violated, LOAD])).option("basePath", f"{root}/staging")
+    df = reader.parquet(f"{root}/staging" + ("" if load_id is None else f"/load_id={load_id}"))
     kept = F.col("violated").isNull()
     return df.filter(kept).select(*STAGING_SCHEMA.names) if accepted else df.filter(~kept).drop("load_id")
 
 
 def scan_orphans(spark: SparkSession, root: str, load_id: str | None = None) -> DataFrame:
-    """Staging rows whose customer was refused, with their load; of one load if named."""
-    df = spark.read.schema(T.StructType([*STAGING_SCHEMA.fields, LOAD])).parquet(f"{root}/{ORPHANS}")
+    """Staging rows whose customer was refused, with their load; of one load if named.
+
+    A load that was folded and then repeated is read from its segment.
+    """
+    now = current(spark, root)
+    loads, folded = _loads(spark, root, now, ORPHANS), _folded(spark, root, now, ORPHANS)
+    if folded is not None:
+        loads = loads.join(folded.select("load_id").distinct(), "load_id", "left_anti").select(*loads.columns)
+    df = _both(loads, folded)
     return df if load_id is None else df.filter(F.col("load_id") == load_id)
 
 

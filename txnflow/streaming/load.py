@@ -9,7 +9,19 @@ from txnflow.operators.constraints import acceptable, violations
 from txnflow.operators.normalise import load_tables, with_audit
 from txnflow.operators.project import to_staging
 from txnflow.schema import TABLES
-from txnflow.sources.tables import BY_MONTH, MONTH, ORPHANS, Months, create_tables, month_of, scan_staging, stored_before
+from txnflow.sources.snapshots import Snapshot, current
+from txnflow.sources.tables import (
+    BY_MONTH,
+    MONTH,
+    ORPHANS,
+    Months,
+    create_tables,
+    month_of,
+    near_facts,
+    scan_staging,
+    stored_before,
+    write_index,
+)
 
 
 def write_staging(records: DataFrame, root: str, load_id: str, **id_options) -> None:
@@ -18,10 +30,10 @@ def write_staging(records: DataFrame, root: str, load_id: str, **id_options) ->
     rows.write.mode("overwrite").parquet(f"{root}/staging/load_id={load_id}")
 
 
-def write_delta(name: str, delta: DataFrame, root: str, load_id: str) -> None:
+def write_delta(name: str, delta: DataFrame, root: str, load_id: str, snapshot: Snapshot) -> None:
     """Overwrite this load's own partition of one table."""
     rows = with_audit(delta)
-    target = f"{root}/{name}/load_id={load_id}"
+    target = f"{snapshot.folder(root, name)}/load_id={load_id}"
     if name in BY_MONTH:
         # rows of a month meet in few files; AQE splits a month that is too big for one
         rows = rows.withColumn(MONTH.name, month_of(F.col("transaction_ts"))).hint("rebalance", MONTH.name)
@@ -30,9 +42,9 @@ def write_delta(name: str, delta: DataFrame, root: str, load_id: str) -> None:
         rows.write.mode("overwrite").parquet(target)
 
 
-def write_orphans(orphans: DataFrame, root: str, load_id: str) -> None:
+def write_orphans(orphans: DataFrame, root: str, load_id: str, snapshot: Snapshot) -> None:
     """Overwrite this load's staging rows whose customer was refused."""
-    orphans.write.mode("overwrite").parquet(f"{root}/{ORPHANS}/load_id={load_id}")
+    orphans.write.mode("overwrite").parquet(f"{snapshot.folder(root, ORPHANS)}/load_id={load_id}")
 
 
 def _months(staging: DataFrame) -> Months:
@@ -49,11 +61,16 @@ def load_staged(
     months = _months(staging)
     if not months:
         return
-    new = load_tables(staging, stored_before(spark, root, load_id, months), mode, grain)
+    now = current(spark, root)
+    stored = stored_before(spark, root, load_id, months, now)
+    incoming = staging.select("id", month_of(F.col("transaction_ts")).alias(MONTH.name)).where("id is not null")
+    stored["transactions"] = near_facts(spark, root, load_id, incoming, months, now)
+    new = load_tables(staging, stored, mode, grain)
     for name in TABLES:
-        write_delta(name, new[name], root, load_id)
+        write_delta(name, new[name], root, load_id, now)
+    write_index(spark, root, load_id, now)
     if "orphans" in new:
-        write_orphans(new["orphans"], root, load_id)
+        write_orphans(new["orphans"], root, load_id, now)
 
 
 def load_batch(
