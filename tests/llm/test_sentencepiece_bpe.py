@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 import sentencepiece
@@ -75,3 +76,18 @@ def test_query_digests(spark, library):
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
     assert digests(encode(docs_of(spark, []), piece_model())).count() == 0
+
+
+def test_long_texts_without_blanks_take_few_rounds():
+    """Merges that make no better pair happen at once; one by one, a text like this takes hours."""
+    path = piece_model()
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    with open(path, "rb") as f:
+        vocabulary = Vocabulary(f.read())
+    rng = random.Random(4)
+    texts = ["hello" * 200_000, "ab" * 30_000, "mississippi" * 5000, "".join(rng.choices("abcde", k=50_000)), "the" * 9999 + "n"]
+    start = time.time()
+    for t in texts:
+        ids, _, decoded = _encode_chunk(_Words(vocabulary), [t])
+        assert ids.tolist() == library.encode(t, add_eos=True) and decoded == [library.decode(ids.tolist())]
+    assert time.time() - start < 60

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from txnflow.llm import filters
 from txnflow.llm import words as W
-from txnflow.llm.common import LETTER_WORD, ascii_lower, store, whole_text
+from txnflow.llm.common import LETTER_WORD, ascii_lower, row_struct, store, whole_text
 
 K, SPAN = 8, 6
 WINDOW = K + SPAN - 1
@@ -194,6 +194,7 @@ def _by_start(keys: list[str]):
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated, unchanged."""
     bad = contamination(docs, items).where("contaminated").select("doc_id", F.col("th").alias("_th")).distinct()
-    keyed = docs.withColumn("_hash", F.xxhash64(whole_text(docs)))
-    clean = keyed.join(bad, keyed["doc_id"].eqNullSafe(bad["doc_id"]) & (keyed["_hash"] == bad["_th"]), "left_anti")
-    return clean.drop("_hash")
+    text_hash = F.xxhash64(whole_text(docs)).alias("_hash")
+    keyed = docs.select(row_struct(docs.columns).alias("_row"), F.col("doc_id").alias("_doc"), text_hash)
+    clean = keyed.join(bad, keyed["_doc"].eqNullSafe(bad["doc_id"]) & (keyed["_hash"] == bad["_th"]), "left_anti")
+    return clean.select("_row.*")

@@ -28,6 +28,9 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from txnflow.llm.common import row_struct
 
 _RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|textarea|title"
 _TOKEN = re.compile(
@@ -273,7 +276,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pa.array([main_text(h.as_py()) for h in batch.column("html")], pa.string())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), texts], [*keep, "text"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), texts], ["row", "text"])
 
-    fields = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep)
-    return pages.select(*keep, F.col("html").cast("string").alias("html")).mapInArrow(task, f"{fields}, text string")
+    source = pages.select(row_struct(keep).alias("row"), F.col("html").cast("string").alias("html"))
+    schema = T.StructType([source.schema["row"], T.StructField("text", T.StringType())])
+    return source.mapInArrow(task, schema).select("row.*", "text")

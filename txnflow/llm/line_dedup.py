@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnflow.llm.common import SPACE_CHARS, ascii_lower, store, whole_text
+from txnflow.llm.common import SPACE_CHARS, ascii_lower, row_struct, store, whole_text
 from txnflow.session import new_folder
 
 MIN_CHARS = 10
@@ -132,14 +132,17 @@ def dedup_lines(docs: DataFrame, runs: LineRuns | None = None, batches: int = BA
         .select(F.col("who.id").alias("_id"), F.col("th").alias("_th"), "_lost")
     )
     text = whole_text(docs)
-    rows = docs.withColumn("_text", text).withColumn("_hash", F.xxhash64("_text"))
-    rows = rows.join(per_text, rows["doc_id"].eqNullSafe(per_text["_id"]) & (rows["_hash"] == per_text["_th"]), "left")
+    # the row travels as one struct, so its names cannot meet the inner ones
+    keep = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    rows = docs.select(row_struct(keep).alias("_row"), F.col("doc_id").alias("_doc"), text.alias("_text"))
+    rows = rows.withColumn("_hash", F.xxhash64("_text"))
+    rows = rows.join(per_text, rows["_doc"].eqNullSafe(per_text["_id"]) & (rows["_hash"] == per_text["_th"]), "left")
     rows = rows.withColumn("_lines", lines_of(F.col("_text")))
     kept = F.transform(
         F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_lost")), lambda i: F.col("_lines")[i]
     )
     return rows.select(
-        *[c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")],
+        "_row.*",
         F.when(F.col("_lost").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n")).alias("text"),
         F.size("_lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("_lost"), F.lit(0)).cast("long").alias("n_dropped"),

@@ -25,8 +25,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from txnflow.llm.common import whole_text
+from txnflow.llm.common import row_struct, whole_text
 
 #: Kinds in their order; the first three are patterns, the others confirmed structures.
 BASE_KINDS = ["assign", "access", "hex"]
@@ -247,15 +248,13 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                [{"kind": k, "start": a, "end": b} for k, a, b in spans_of(text.as_py())] for text in batch.column("_text")
+                [{"kind": k, "start": a, "end": b} for k, a, b in spans_of(text.as_py())] for text in batch.column("text")
             ]
-            columns = [*(batch.column(c) for c in keep), pa.array(rows, pa.list_(kind))]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, "secrets"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(rows, pa.list_(kind))], ["row", "secrets"])
 
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep).withColumn("_text", whole_text(docs)).mapInArrow(
-        task, f"{fields}, secrets array<struct<kind: string, start: bigint, end: bigint>>"
-    )
+    source = docs.select(row_struct(keep).alias("row"), whole_text(docs).alias("text"))
+    made = T.StructType.fromDDL("secrets array<struct<kind: string, start: bigint, end: bigint>>")
+    return source.mapInArrow(task, T.StructType([source.schema["row"], *made.fields])).select("row.*", "secrets")
 
 
 def span_list(spans: Column) -> Column:

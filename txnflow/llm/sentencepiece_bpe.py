@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from txnflow.llm.common import whole_text
+from txnflow.llm.common import row_struct, whole_text
 
 BLANK = "▁"
 #: Distinct words kept between batches of one task, and ids kept for each on average.
@@ -146,11 +147,10 @@ class Vocabulary:
             p = np.flatnonzero((rank == best) & live)
             if not len(p):
                 break
-            first = np.append(True, seg[p[1:]] != seg[p[:-1]])
-            p = p[first | ~self.risky[best[p]]]
             begins = np.append(True, p[1:] != p[:-1] + 1)  # of runs of overlapping pairs
             run = np.flatnonzero(begins)[np.cumsum(begins) - 1]
             p = p[(np.arange(len(p)) - run) % 2 == 0]
+            p = p[self._at_once(sym, seg, p, self.pair_symbols[found[p]], best[p])]
             sym = sym.copy()
             sym[p] = self.pair_symbols[found[p]]
             live[p + 1] = False
@@ -159,6 +159,35 @@ class Vocabulary:
         order = np.argsort(at, kind="stable")
         return sym[order], at[order]
 
+    def _at_once(self, sym, seg, p, new, best) -> np.ndarray:
+        """Which of the pairs at ``p`` can merge in one round, to the symbols ``new``.
+
+        Where a merge makes a pair that is as good or better, that one comes
+        before the pairs to the right: they wait for the next round.
+        """
+        use = np.ones(len(p), bool)
+        some = np.flatnonzero(self.risky[best])
+        if not len(some):
+            return use
+        q, x, bound = p[some], new[some], best[some]
+        before, after = np.maximum(q - 1, 0), np.minimum(q + 2, len(sym) - 1)
+        has_before = (q > 0) & (seg[before] == seg[q])
+        has_after = (q + 2 < len(sym)) & (seg[after] == seg[q])
+        beside = np.append(False, q[1:] == q[:-1] + 2) & has_before
+        better = self._ranks(sym[before], x, has_before) <= bound
+        better |= self._ranks(x, sym[after], has_after) <= bound
+        better |= self._ranks(np.roll(x, 1), x, beside) <= bound
+        earlier = np.cumsum(better) - better
+        starts = np.append(True, seg[q[1:]] != seg[q[:-1]])
+        use[some] = earlier == earlier[np.flatnonzero(starts)][np.cumsum(starts) - 1]
+        return use
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray, real: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs (a, b), where ``real``."""
+        key = np.where(real & (a >= 0) & (b >= 0), a * self.step + b, -1)
+        found = np.searchsorted(self.pair_keys, key)
+        return np.where(self.pair_keys[found] == key, self.pair_ranks[found], _NONE)
+
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words in a row, number of ids of each word)."""
         lens = np.fromiter(map(len, words), np.int64, len(words))
@@ -281,7 +310,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Words(vocabulary)
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
+            texts = batch.column("text").to_pylist()
             row = 0
             while row < len(texts):
                 end, chars = row, 0
@@ -290,16 +319,16 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
                     end += 1
                 ids, counts, decoded = _encode_chunk(cache, texts[row:end])
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-                rest = [batch.column(c).slice(row, end - row) for c in keep]
-                columns = [*rest, pa.ListArray.from_arrays(offsets, pa.array(ids)), pa.array(decoded, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, [*keep, "ids", "decoded"])
+                rest = batch.column("row").slice(row, end - row)
+                columns = [rest, pa.ListArray.from_arrays(offsets, pa.array(ids)), pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "ids", "decoded"])
                 cache.trim()
                 row = end
 
     keep = [c for c in docs.columns if c not in ("ids", "decoded")]
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    source = docs.select(*keep).withColumn("_text", whole_text(docs))
-    return source.mapInArrow(task, f"{fields}, ids array<int>, decoded string")
+    source = docs.select(row_struct(keep).alias("row"), whole_text(docs).alias("text"))
+    made = T.StructType.fromDDL("ids array<int>, decoded string")
+    return source.mapInArrow(task, T.StructType([source.schema["row"], *made.fields])).select("row.*", *made.names)
 
 
 def digests(encoded: DataFrame) -> DataFrame:

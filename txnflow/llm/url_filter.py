@@ -17,8 +17,10 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from txnflow.llm.common import ascii_lower
+from txnflow.llm.common import ascii_lower, row_struct
+from txnflow.llm.common import column as named
 
 # fixed values: the rules of the contract
 RULES = [
@@ -80,8 +82,9 @@ def count_terms(df: DataFrame, column: str, strict: Sequence[str], soft: Sequenc
             lists = [pa.array([b[i] for b in both], pa.list_(pa.string())) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *lists], names)
 
-    fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return df.select(*keep).mapInArrow(task, f"{fields}, strict_terms array<string>, soft_terms array<string>")
+    made = T.StructType.fromDDL("strict_terms array<string>, soft_terms array<string>")
+    source = df.select(*(named(c) for c in keep))
+    return source.mapInArrow(task, T.StructType([*source.schema.fields, *made.fields]))
 
 
 def judge_urls(
@@ -92,7 +95,7 @@ def judge_urls(
 ) -> DataFrame:
     """``pages`` with host, path, rule, strict_terms, soft_terms and verdict."""
     made = ["host", "path", "rule", "strict_terms", "soft_terms", "verdict"]
-    whole = pages.select(F.struct(*pages.columns).alias("_page"), F.coalesce(F.col("url"), F.lit("")).alias("_url"))
+    whole = pages.select(row_struct(pages.columns).alias("_page"), F.coalesce(F.col("url"), F.lit("")).alias("_url"))
     whole = whole.withColumn("_low", ascii_lower(F.col("_url")))
     out = count_terms(whole, "_low", strict, soft)
     out = out.withColumn("host", url_host(F.col("_url"))).withColumn("path", url_path(F.col("_url")))

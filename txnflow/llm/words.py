@@ -28,6 +28,8 @@ LETTERS[128:] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
+#: Bytes of a word that have a table of their own.
+_PLACES = 64
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -37,6 +39,10 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+#: A number for each byte at each place. A sum of powers would give some words of a simple build one hash.
+_TABLE = mix(np.arange(_PLACES * 256, dtype=np.uint64) * _BASE + _MIX)
+
+
 @dataclass
 class Words:
     """Words of consecutive texts; text ``t`` has words ``first[t]`` to ``first[t + 1]``."""
@@ -53,9 +59,12 @@ class Words:
             return np.zeros(0, dtype=np.uint64)
         off = np.cumsum(lens) - lens
         within = np.arange(int(lens.sum())) - np.repeat(off, lens)
-        powers = np.multiply.accumulate(np.full(int(lens.max()), _BASE, dtype=np.uint64))
-        value = self.low[np.repeat(self.start, lens) + within].astype(np.uint64) + np.uint64(1)
-        return mix(np.add.reduceat(value * powers[within], off) + lens.astype(np.uint64))
+        byte = self.low[np.repeat(self.start, lens) + within]
+        value = _TABLE[(within & (_PLACES - 1)) << 8 | byte]
+        far = np.flatnonzero(within >= _PLACES)
+        if len(far):
+            value[far] = mix(value[far] + (within[far] // _PLACES).astype(np.uint64) * _BASE)
+        return mix(np.add.reduceat(value, off) + lens.astype(np.uint64))
 
     def text(self, a: int, b: int) -> str:
         """Words ``a`` to ``b`` (end exclusive), joined by one space."""
