@@ -141,9 +141,12 @@ def dedup_lines(docs: DataFrame, runs: LineRuns | None = None, batches: int = BA
     kept = F.transform(
         F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_lost")), lambda i: F.col("_lines")[i]
     )
-    return rows.select(
-        "_row.*",
-        F.when(F.col("_lost").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n")).alias("text"),
-        F.size("_lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("_lost"), F.lit(0)).cast("long").alias("n_dropped"),
+    done = rows.select(
+        "_row",
+        F.when(F.col("_lost").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n")).alias("_kept"),
+        F.size("_lines").cast("long").alias("_all"),
+        F.coalesce(F.size("_lost"), F.lit(0)).cast("long").alias("_dropped"),
+    )
+    return done.select(
+        "_row.*", F.col("_kept").alias("text"), F.col("_all").alias("n_lines"), F.col("_dropped").alias("n_dropped")
     )
