@@ -7,18 +7,25 @@ threshold, the exact binomial tail ``P(Bin(n, risk) <= k)`` tests the
 hypothesis that the rule rejects more than ``risk`` of the good documents. A
 threshold is allowed only if that is refuted. All thresholds of a rule are one
 sequence from the mildest on, tested until the first is not refuted, which
-needs no correction; rules and strata share the error by Bonferroni, and the
-rules share the risk. So with confidence ``1 - ERROR`` every stratum loses at
-most ``RISK`` of its good documents to the rules. Among allowed thresholds the
-one that catches most bad documents net of its cost in good ones is used; a
-stratum with too few labels gets none.
+needs no correction; rules and strata share the error by Bonferroni. The risk
+is shared by as many rules as the good labels of the stratum can support: with
+few of them one rule, the one that gains most, has the whole risk. That number
+follows from the count of labels alone, so it needs no correction either. So
+with confidence ``1 - ERROR`` every stratum loses at most ``RISK`` of its good
+documents to the rules. Among allowed thresholds the one that catches most bad
+documents net of its cost in good ones is used.
+
+A stratum whose good labels could not support even one rule is judged together
+with the other ones of that kind: they form one stratum, and the guarantee holds
+for their good documents taken together. Which ones these are follows from the
+counts of labels alone. If all of them have too few labels there is no threshold.
 
 The base rule (too few words, too many repeated ones) comes first and is not
 part of the guarantee.
 
 Defined cases: NULL or empty text has no words and fails the base rule; a NULL
 stratum is a stratum of its own; unlabelled documents and labels that are NULL
-do not count; rows that repeat a document are judged alike; other columns pass
+do not count; a stratum without any label has no threshold; rows that repeat a document are judged alike; other columns pass
 through unchanged.
 """
 
@@ -127,10 +134,10 @@ def scores() -> Column:
     )
 
 
-def _tail(k: Column, n: Column, risk: float) -> Column:
+def _tail(k: Column, n: Column, risk: Column) -> Column:
     """P(Bin(n, risk) <= k), exact; from the median on it is at least 1/2 and refutes nothing."""
-    first = n * math.log1p(-risk)
-    odds = math.log(risk) - math.log1p(-risk)
+    first = n * F.log1p(-risk)
+    odds = F.log(risk) - F.log1p(-risk)
     total = F.aggregate(
         F.sequence(F.lit(1), F.greatest(k, F.lit(1))),
         F.struct(first.alias("log"), F.exp(first).alias("sum")),
@@ -144,32 +151,51 @@ def _step(a: Column, log: Column, use: Column) -> Column:
     return F.when(use, F.struct(log.alias("log"), (a["sum"] + F.exp(log)).alias("sum"))).otherwise(a)
 
 
+def needed(rules: int, strata: int) -> float:
+    """Good labels from which on a threshold that hits none of them is allowed, if ``rules`` share the risk."""
+    return math.log(ERROR / (len(RULES) * max(strata, 1))) / math.log1p(-RISK / rules)
+
+
+def pools(counts: DataFrame) -> DataFrame:
+    """(stratum, pool): a stratum of enough good labels is its own pool, all others share the pool ``''``."""
+    own = counts.where(F.col("rule") == next(iter(RULES))).groupBy("stratum").agg(F.sum("g").alias("n"))
+    enough = F.col("n") >= needed(1, own.count())
+    return store(own.select("stratum", F.when(enough, F.concat(F.lit("="), "stratum")).otherwise("").alias("pool")), "pools")
+
+
 def thresholds(labelled: DataFrame, stratum: str = "lang") -> DataFrame:
-    """(stratum, rule, threshold, good, rejected_good, rejected_bad, tail) of the rules that are in force.
+    """(stratum, rule, threshold, good, rejected_good, rejected_bad, risk, tail) of the rules that are in force.
 
     ``labelled`` has the features and ``quality`` (1 good, 0 bad). Counts are
-    by score, so a stratum of any size is at most 1001 rows for each rule.
+    by score, so a stratum of any size is at most 1001 rows for each rule. The
+    figures of a stratum in the shared pool are those of the pool.
     """
-    risk = RISK / len(RULES)
     rows = labelled.where("quality in (0, 1)").where(~base_failed())
     rows = rows.select(F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), "quality", F.explode(scores()).alias("s"))
     counts = rows.groupBy("stratum", "s.rule", "s.score").agg(
         F.sum("quality").alias("g"), F.sum(1 - F.col("quality")).alias("b")
     )
     counts = store(counts, "score-counts")
-    strata = counts.select("stratum").distinct().count()
-    whole = Window.partitionBy("stratum", "rule")
+    members = pools(counts)
+    n_pools = members.select("pool").distinct().count()
+    pooled = counts.join(members, "stratum").groupBy("pool", "rule", "score").agg(F.sum("g").alias("g"), F.sum("b").alias("b"))
+    whole = Window.partitionBy("pool", "rule")
     above = whole.orderBy(F.desc("score"))
-    tested = counts.select(
-        "stratum", "rule", F.col("score").alias("threshold"), F.sum("g").over(whole).alias("good"),
+    tested = pooled.select(
+        "pool", "rule", F.col("score").alias("threshold"), F.sum("g").over(whole).alias("good"),
         F.sum("g").over(above).alias("rejected_good"), F.sum("b").over(above).alias("rejected_bad"),
     )
-    tested = tested.where("threshold > 0").withColumn("tail", _tail(F.col("rejected_good"), F.col("good"), risk))
-    allowed = tested.where(F.col("tail") <= ERROR / (len(RULES) * max(strata, 1)))
+    supported = sum((F.col("good") >= needed(m, n_pools)).cast("int") for m in range(1, len(RULES) + 1))
+    tested = tested.where("threshold > 0").withColumn("sharing", F.greatest(supported, F.lit(1)))
+    tested = tested.withColumn("risk", F.lit(RISK) / F.col("sharing"))
+    tested = tested.withColumn("tail", _tail(F.col("rejected_good"), F.col("good"), F.col("risk")))
+    allowed = tested.where(F.col("tail") <= ERROR / (len(RULES) * max(n_pools, 1)))
     gain = (F.col("rejected_bad") - COST * F.col("rejected_good")).alias("gain")
-    best = F.max(F.struct(gain, *(c for c in tested.columns if c not in ("stratum", "rule"))))
-    chosen = allowed.groupBy("stratum", "rule").agg(best.alias("x")).where("x.gain > 0")
-    return store(chosen.select("stratum", "rule", "x.*").drop("gain"), "thresholds")
+    best = F.max(F.struct(gain, *(c for c in tested.columns if c not in ("pool", "rule"))))
+    chosen = allowed.groupBy("pool", "rule").agg(best.alias("x")).where("x.gain > 0").select("pool", "rule", "x.*")
+    place = F.row_number().over(Window.partitionBy("pool").orderBy(F.desc("gain"), "rule"))
+    chosen = chosen.withColumn("place", place).where("place <= sharing").drop("gain", "place", "sharing")
+    return store(members.join(chosen, "pool").drop("pool"), "thresholds")
 
 
 def judge(docs: DataFrame, limits: DataFrame, stratum: str = "lang") -> DataFrame:

@@ -88,14 +88,21 @@ score AS (SELECT r, doc_id, lang, base_failed, rule, CASE WHEN d > 0 THEN least(
 lab AS (SELECT doc_id, min(quality) AS q FROM {labels} GROUP BY doc_id),
 hist AS (SELECT lang, rule, s, sum(q) AS g, sum(1 - q) AS b FROM score JOIN lab USING (doc_id)
          WHERE NOT base_failed AND q IN (0, 1) GROUP BY ALL),
-cum AS (SELECT lang, rule, s, sum(g) OVER (PARTITION BY lang, rule) AS n,
-               sum(g) OVER (PARTITION BY lang, rule ORDER BY s DESC) AS k,
-               sum(b) OVER (PARTITION BY lang, rule ORDER BY s DESC) AS b FROM hist),
-tail AS (SELECT *, CASE WHEN k >= 0.005 * n THEN 1 ELSE list_sum(list_transform(range(0, k::BIGINT + 1),
-           lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.005) + (n - i) * ln(0.995)))) END AS p
-         FROM cum WHERE s > 0),
-lim AS (SELECT lang, rule, arg_max(s, (b - 10 * k) * 10000 + s) AS t FROM tail
-        WHERE p <= 0.05 / (4 * (SELECT count(DISTINCT lang) FROM hist)) AND b - 10 * k > 0 GROUP BY lang, rule),
+own AS (SELECT lang, sum(g) AS n FROM hist WHERE rule = 'symbols' GROUP BY lang),
+pool AS (SELECT lang, CASE WHEN n >= ln(0.05 / (4 * (SELECT count(*) FROM own))) / ln(0.98) THEN '=' || lang ELSE '' END AS pool FROM own),
+pools AS (SELECT 0.05 / (4 * count(DISTINCT pool)) AS e FROM pool),
+cum AS (SELECT pool, rule, s, sum(sum(g)) OVER (PARTITION BY pool, rule) AS n,
+               sum(sum(g)) OVER (PARTITION BY pool, rule ORDER BY s DESC) AS k,
+               sum(sum(b)) OVER (PARTITION BY pool, rule ORDER BY s DESC) AS b FROM hist JOIN pool USING (lang) GROUP BY pool, rule, s),
+part AS (SELECT *, 0.02 / m AS p FROM
+         (SELECT *, greatest(1, len(list_filter([1, 2, 3, 4], lambda x: n >= ln(e) / ln(1 - 0.02 / x)))) AS m FROM cum, pools)),
+tail AS (SELECT *, CASE WHEN k >= p * n THEN 1 ELSE list_sum(list_transform(range(0, k::BIGINT + 1),
+           lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(p) + (n - i) * ln(1 - p)))) END AS q
+         FROM part WHERE s > 0),
+best AS (SELECT pool, rule, any_value(m) AS m, max(b - 10 * k) AS gain, arg_max(s, (b - 10 * k) * 10000 + s) AS t FROM tail
+         WHERE q <= e AND b - 10 * k > 0 GROUP BY pool, rule),
+lim AS (SELECT lang, rule, t FROM (SELECT * FROM best QUALIFY row_number() OVER (PARTITION BY pool ORDER BY gain DESC, rule) <= m)
+        JOIN pool USING (pool)),
 broke AS (SELECT DISTINCT r FROM score JOIN lim USING (lang, rule) WHERE s >= t)
 SELECT based.*, NOT base_failed AND broke.r IS NULL AS kept FROM based LEFT JOIN broke USING (r)
 """
