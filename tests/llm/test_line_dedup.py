@@ -6,7 +6,8 @@ import pytest
 
 from tests.compare import connect, differences
 from tests.llm.brute import EDGE, docs_of, low, prose
-from txnflow.llm.line_dedup import LineRuns, dedup_lines, load_batch
+from txnflow.llm.common import store
+from txnflow.llm.line_dedup import LineRuns, batches_of, dedup_lines, load_batch
 from txnflow.llm.queries import QUERIES
 from txnflow.llm.sql import SQL
 
@@ -53,6 +54,53 @@ def test_later_batches_meet_merged_runs(spark):
     assert runs.stored().count() == 8
 
 
+def test_stored_runs_are_not_shuffled(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        runs = LineRuns(spark, fanout=2)
+        for i in range(3):  # a merged run and one of the first level
+            load_batch(runs, docs_of(spark, [(i, "\n".join(prose(6, 10 * i + k) for k in range(5)))]))
+        assert [len(level) for level in runs.levels] == [1, 1]
+        merged, fresh = runs.levels[1][0], runs.levels[0][0]
+        keys = store(runs.stored().select("h1", "h2"), "some-keys")
+        lookup = runs.with_owner(keys, runs.stored().schema["owner"].dataType)
+        for df, shuffles in ((lookup, 1), (runs._merged(merged, fresh), 0)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == shuffles, plan
+        assert lookup.where("owner is null").count() == 0 and lookup.count() == 15
+        runs.close()
+        assert not [t.name for t in spark.catalog.listTables() if t.name in (merged, fresh)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("fanout", [3, 4])
+def test_wider_levels(spark, fanout):
+    runs = LineRuns(spark, fanout=fanout, buckets=3)
+    lines = [prose(6, s) for s in range(fanout + 1)]
+    for i in range(fanout + 1):
+        lost = load_batch(runs, docs_of(spark, [(i, "\n".join(lines[: i + 1]))]))
+        assert sorted(r["at"] for r in lost.collect()) == list(range(i))
+    assert [len(level) for level in runs.levels] == [1, 1]
+    runs.close()
+
+
+def test_outlying_ids_leave_the_batches_even(spark):
+    ids = [*range(1, 81), 2**62, -(2**62), None]
+    docs = docs_of(spark, [(i, f"the line all of them hold\nnumber {i}") for i in ids])
+    sizes = [part.count() for part in batches_of(docs, 4)]
+    assert sum(sizes) == 83 and max(sizes) <= 25
+    kept = dedup_lines(docs).where("n_dropped = 0").collect()
+    assert [r["doc_id"] for r in kept] == [-(2**62)]
+
+
+def test_one_id_in_all_rows(spark):
+    docs = docs_of(spark, [(7, "the line all of them hold")] * 5)
+    assert sum(part.count() for part in batches_of(docs, 4)) == 5
+    assert dedup_lines(docs).where("n_dropped = 0").count() == 5
+
+
 def test_query_equals_sql(spark):
     sf = "/root/testdata/sf0.001"
     got = QUERIES["op7_line_dedup"](spark, sf)

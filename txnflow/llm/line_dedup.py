@@ -7,7 +7,8 @@ that key. Documents come in batches of ascending id. Each batch is joined with
 the stored runs (a key found there is owned by an earlier document), keeps its
 first holders of the rest, and adds those as a new run. When a level holds
 ``fanout`` runs they are merged into one run of the next level, so that a
-batch meets only a logarithmic number of runs.
+batch meets only a logarithmic number of runs. Runs are bucketed by hash, so
+only a batch's own keys are shuffled, however much is stored.
 
 Defined cases: NULL or empty text is one empty line; a NULL id is one document
 that comes after all others; rows that repeat an id are one document, and keep
@@ -16,10 +17,13 @@ or lose their lines alike; other columns pass through unchanged.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnflow.llm.common import SPACE_CHARS, ascii_lower, row_struct, store, whole_text
 from txnflow.session import new_folder
@@ -46,39 +50,69 @@ def _id(df: DataFrame) -> Column:
 
 
 class LineRuns:
-    """The runs of line hashes in a shared folder."""
+    """The runs of line hashes in a shared folder, bucketed alike and sorted by the hashes.
 
-    def __init__(self, spark: SparkSession, root: str | None = None, fanout: int = FANOUT):
+    All runs of one store share a number of buckets, so looking a batch up and
+    merging two runs join bucket with bucket: no stored hash is shuffled again.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str | None = None, fanout: int = FANOUT, buckets: int | None = None
+    ):
         self.spark, self.fanout = spark, fanout
         self.root = root or new_folder(spark, "line-runs")
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
-        self._made = 0
 
     def stored(self) -> DataFrame | None:
         """(h1, h2, owner) of all lines seen so far; a key is in one run only."""
-        runs = [r for level in self.levels for r in level]
-        return self._read(runs) if runs else None
+        runs = [self.spark.table(r) for level in self.levels for r in level]
+        return reduce(DataFrame.unionByName, runs) if runs else None
 
-    def _read(self, runs: list[str]) -> DataFrame:
-        return reduce(DataFrame.unionByName, [self.spark.read.parquet(r) for r in runs])
+    def with_owner(self, keys: DataFrame, owner_type: T.DataType) -> DataFrame:
+        """``keys`` with the column owner: the earlier document that a run names, or NULL."""
+        out = keys.withColumn("owner", F.lit(None).cast(owner_type))
+        for run in (r for level in self.levels for r in level):
+            held = self.spark.table(run).select(*_KEY, F.col("owner").alias("held"))
+            out = out.join(held, _KEY, "left").withColumn("owner", F.coalesce("owner", "held")).drop("held")
+        return out
 
     def _write(self, rows: DataFrame, level: int) -> None:
-        folder = f"{self.root}/level-{level}-run-{self._made}"
-        self._made += 1
-        rows.repartitionByRange(*_KEY).sortWithinPartitions(*_KEY).write.parquet(folder)
+        run = f"line_run_{uuid.uuid4().hex}"
+        writer = rows.select(*_KEY, "owner").write.bucketBy(self.buckets, *_KEY).sortBy(*_KEY)
+        writer.option("path", f"{self.root}/level-{level}/{run}").saveAsTable(run)
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(folder)
+        self.levels[level].append(run)
+
+    def _merged(self, left: str, right: str) -> DataFrame:
+        """One run of two that share no key."""
+        a, b = self.spark.table(left), self.spark.table(right).withColumnRenamed("owner", "other")
+        return a.join(b, _KEY, "full").withColumn("owner", F.coalesce("owner", "other"))
 
     def add(self, keys: DataFrame) -> None:
         """Add new keys as a run of the first level, and merge full levels."""
-        self._write(keys, 0)
+        self._write(keys.repartition(self.buckets, *_KEY), 0)
         level = 0
         while len(self.levels[level]) >= self.fanout:
-            full, self.levels[level] = self.levels[level], []
-            self._write(self._read(full), level + 1)
+            while len(self.levels[level]) > 1:
+                pair = self.levels[level][:2]
+                last = len(self.levels[level]) == 2
+                self._write(self._merged(*pair), level + 1 if last else level)
+                self.levels[level] = self.levels[level][2:]
+                self._forget(pair)
             level += 1
 
+    def _forget(self, runs: list[str]) -> None:
+        """Drop names from the catalog; the files stay, as a lookup that was planned before may still read them."""
+        for run in runs:
+            self.spark.sql(f"DROP TABLE IF EXISTS {run}")
+
+    def close(self) -> None:
+        """Forget all runs."""
+        self._forget([r for level in self.levels for r in level])
+        self.levels = []
+
 
 def line_hashes(docs: DataFrame) -> DataFrame:
     """(who, th, at, h1, h2) of every line that is long enough; two hashes make collisions a non-event."""
@@ -98,12 +132,7 @@ def load_batch(runs: LineRuns, docs: DataFrame) -> DataFrame:
     """
     lines = store(line_hashes(docs), "lines")
     own = lines.groupBy(*_KEY).agg(F.min("who").alias("first"), F.max("who").alias("last"))
-    seen = runs.stored()
-    if seen is None:
-        keys = own.withColumn("owner", F.lit(None).cast(own.schema["first"].dataType))
-    else:
-        keys = own.join(seen, _KEY, "left")
-    keys = store(keys, "line-keys")
+    keys = store(runs.with_owner(own, own.schema["first"].dataType), "line-keys")
     runs.add(keys.where("owner is null").select(*_KEY, F.col("first").alias("owner")))
     shared = keys.where("owner is not null or not (first <=> last)").select(
         *_KEY, F.coalesce("owner", "first").alias("owner")
@@ -112,19 +141,26 @@ def load_batch(runs: LineRuns, docs: DataFrame) -> DataFrame:
 
 
 def batches_of(docs: DataFrame, batches: int = BATCHES) -> list[DataFrame]:
-    """Documents in ascending ranges of their (whole-number) id, NULL in the last."""
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    if low is None or batches < 2:
+    """Documents in ascending ranges of their numeric id with about equally many rows, NULL in the last.
+
+    Any cut gives the same result, so the quantiles may be approximate. Rows of
+    one id stay together.
+    """
+    shares = [i / batches for i in range(1, batches)]
+    cuts = docs.agg(F.percentile_approx("doc_id", shares, F.lit(10_000))).first()[0] if shares else None
+    if not cuts:
         return [docs]
-    part = F.least(F.lit(batches - 1), F.floor((F.col("doc_id") - low) * F.lit(batches) / F.lit(high - low + 1)))
-    part = F.coalesce(part, F.lit(batches - 1))
-    return [docs.where(part == i) for i in range(batches)]
+    cuts, who = sorted(set(cuts)), F.col("doc_id")
+    middle = [docs.where((who > low) & (who <= high)) for low, high in pairwise(cuts)]
+    return [docs.where(who <= cuts[0]), *middle, docs.where((who > cuts[-1]) | who.isNull())]
 
 
 def dedup_lines(docs: DataFrame, runs: LineRuns | None = None, batches: int = BATCHES) -> DataFrame:
     """``docs`` with the reduced ``text`` and the columns n_lines and n_dropped."""
-    runs = runs or LineRuns(docs.sparkSession)
-    lost = [store(load_batch(runs, part), "lost-lines") for part in batches_of(docs, batches)]
+    store_of = runs or LineRuns(docs.sparkSession)
+    lost = [store(load_batch(store_of, part), "lost-lines") for part in batches_of(docs, batches)]
+    if runs is None:
+        store_of.close()
     per_text = (
         reduce(DataFrame.unionByName, lost)
         .groupBy("who", "th")
