@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from txnflow.operators import insert
 from txnflow.operators import normalise as N
 from txnflow.operators.constraints import check_reference, check_unique
 from txnflow.operators.insert import first_per_key, insert_ignore, returning
@@ -13,6 +14,7 @@ from txnflow.operators.joins import denormalise
 from txnflow.operators.project import to_staging
 from txnflow.schema import RECORD_SCHEMA, TABLES
 from txnflow.session import new_folder
+from txnflow.session import stored as kept
 from txnflow.sources.tables import read_table, scan_staging
 from txnflow.streaming.load import load_batch
 
@@ -131,6 +133,62 @@ def test_first_per_key_combines_before_the_shuffle(spark):
     assert plan.count("Exchange") == 1 and "partial_min" in plan and "Window" not in plan
 
 
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_rare_copies_keep_the_same_rows(spark, monkeypatch, most):
+    monkeypatch.setattr(insert, "MOST_REPEATED", most)
+    rng = random.Random(3)
+    rows = [(rng.choice([None, *range(60)]), rng.choice([None, *range(5)]), i) for i in range(80)]
+    df = spark.createDataFrame(rows, "k long, ts long, n long")
+    assert set(insert.first_of_rare_copies(df, ["k"], ["ts"]).collect()) == set(first_per_key(df, ["k"], ["ts"]).collect())
+
+
+def test_facts_that_do_not_repeat_are_not_shuffled(spark):
+    rows = kept(staged(spark, [txn(i) for i in range(30)]))
+    plan = N.load_transactions(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+
+
+def test_close_facts_are_stored_once_and_not_shuffled(spark):
+    from txnflow.plans.queries import fact_close_pairs
+
+    plan = fact_close_pairs(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem.parquet" not in plan and "Exchange" not in plan
+
+
+def test_earliest_keeps_what_can_come_first(spark):
+    at = [None, START, START, START + timedelta(days=1)]
+    rng = random.Random(5)
+    df = spark.createDataFrame([(rng.randrange(6), rng.choice(at), rng.randrange(9)) for _ in range(50)], "k long, ts timestamp, n long")
+    few = insert.earliest(df, "k", "ts")
+    assert set(first_per_key(few, ["k"], ["ts"]).collect()) == set(first_per_key(df, ["k"], ["ts"]).collect())
+    assert few.count() < df.count()
+
+
+def test_the_row_gate_aggregates_whole_rows_of_few(spark, monkeypatch):
+    seen = []
+
+    def counted(df, keys, order=()):
+        seen.append(df.count())
+        return first_per_key(df, keys, order)
+
+    monkeypatch.setattr(N, "first_per_key", counted)
+    rows = kept(staged(spark, [txn(i, street=f"{i % 5} St", merchant=f"M{i % 7}") for i in range(400)]))
+    N.gate_by_row(rows)
+    assert max(seen) <= 35
+
+
+def test_ids_of_the_first_load_are_stored_sets(spark):
+    from txnflow.plans.queries import known_rows
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "60000")
+    try:
+        plan = known_rows(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 3
+
+
 # loader scenarios: (first load, second load) and what the second one adds
 
 BASE = [txn(1, "A", "1 Main St", "M", "X")]
