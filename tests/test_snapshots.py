@@ -10,6 +10,7 @@ from tests.test_load import many, records, rows_of, stored, txn
 from txnflow.operators import frames
 from txnflow.operators.validate import validate_and_route
 from txnflow.session import new_folder
+from txnflow.schema import RECORD_SCHEMA
 from txnflow.sinks.files import read_route, route_sinks
 from txnflow.sources import csv as csv_source
 from txnflow.sources import fact_index, snapshots
@@ -162,6 +163,14 @@ def test_messages_of_one_file_each_reach_the_model(spark):
     sent = [bytes(r[0]) for r in frames.encode_frame(text, 7).collect()] + [b"\x00\x00\x00\x00\x4dzz", b"?"]
     os.makedirs(folder)
     for i, message in enumerate(sent):
+def test_a_payload_is_parsed_once_for_each_schema(spark):
+    from txnflow.plans.queries import ALIASES, DEFAULTS, SCHEMAS
+
+    framed = spark.createDataFrame([(b"x",)], "value binary")
+    decoded = frames.decode_by_schema(framed, SCHEMAS, RECORD_SCHEMA, DEFAULTS, ALIASES)
+    assert decoded._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == len(SCHEMAS)
+
+
         with open(f"{folder}/{i}.bin", "wb") as f:
             f.write(message)
     stream = stream_frames(spark, folder, files_per_trigger=3, fmt="binaryFile")
