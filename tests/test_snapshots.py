@@ -1,6 +1,7 @@
 """Folded loads, the index of fact ids, committed routes, bounded batches, first-seen state, schemas by id."""
 
 import os
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,9 +10,9 @@ from pyspark.sql import types as T
 from tests.test_load import many, records, rows_of, stored, txn
 from txnflow.operators import frames
 from txnflow.operators.validate import validate_and_route
-from txnflow.session import new_folder
 from txnflow.schema import RECORD_SCHEMA
-from txnflow.sinks.files import read_route, route_sinks
+from txnflow.session import new_folder
+from txnflow.sinks.files import by_hour, read_route, route_sinks
 from txnflow.sources import csv as csv_source
 from txnflow.sources import fact_index, snapshots
 from txnflow.sources.tables import MONTH, compact, near_facts, read_table, scan_orphans
@@ -95,6 +96,15 @@ def test_routes_keep_line_breaks_and_show_whole_loads_only(spark, monkeypatch):
     assert read_route(spark, root, "malformed").count() == 4
 
 
+def test_routes_of_one_moment_are_not_brought_together(spark):
+    rows = spark.range(8, numPartitions=4)
+    moment = datetime(2024, 1, 1, 5, tzinfo=timezone.utc)
+    same = by_hour(rows, moment)
+    assert "REBALANCE" not in same._jdf.queryExecution().executedPlan().toString()
+    assert same.select("dt", "hh").distinct().collect() == by_hour(rows, F.lit(moment)).select("dt", "hh").distinct().collect()
+    assert same.first()["dt"] == "20240101" and same.first()["hh"] == "0500"
+
+
 @pytest.mark.parametrize("files", [4, 8])
 def test_bytes_bound_a_batch_so_more_input_makes_more_batches(spark, files):
     folder = new_folder(spark, "in")
@@ -153,6 +163,14 @@ def test_frames_are_decoded_by_the_schema_of_their_header(spark):
     assert whole == {b"\x00\x00\x00\x00\x03" + b'{"id": 3}'}
 
 
+def test_a_payload_is_parsed_once_for_each_schema(spark):
+    from txnflow.plans.queries import ALIASES, DEFAULTS, SCHEMAS
+
+    framed = spark.createDataFrame([(b"x",)], "value binary")
+    decoded = frames.decode_by_schema(framed, SCHEMAS, RECORD_SCHEMA, DEFAULTS, ALIASES)
+    assert decoded._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == len(SCHEMAS)
+
+
 def test_messages_of_one_file_each_reach_the_model(spark):
     from txnflow.plans.feed import as_text_fields
     from txnflow.plans.queries import ALIASES, DEFAULTS, SCHEMAS
@@ -163,14 +181,6 @@ def test_messages_of_one_file_each_reach_the_model(spark):
     sent = [bytes(r[0]) for r in frames.encode_frame(text, 7).collect()] + [b"\x00\x00\x00\x00\x4dzz", b"?"]
     os.makedirs(folder)
     for i, message in enumerate(sent):
-def test_a_payload_is_parsed_once_for_each_schema(spark):
-    from txnflow.plans.queries import ALIASES, DEFAULTS, SCHEMAS
-
-    framed = spark.createDataFrame([(b"x",)], "value binary")
-    decoded = frames.decode_by_schema(framed, SCHEMAS, RECORD_SCHEMA, DEFAULTS, ALIASES)
-    assert decoded._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == len(SCHEMAS)
-
-
         with open(f"{folder}/{i}.bin", "wb") as f:
             f.write(message)
     stream = stream_frames(spark, folder, files_per_trigger=3, fmt="binaryFile")
