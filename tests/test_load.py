@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnflow.operators import insert
 from txnflow.operators import normalise as N
@@ -384,3 +385,26 @@ def test_any_amount_loads_and_close_facts_stay_apart(spark):
     aside = scan_staging(spark, root, "a-0", accepted=False).collect()
     assert kept + len(aside) == len(amounts)
     assert all(v.endswith(":amount") for r in aside for v in r["violated"])
+
+
+def test_two_key_insert_stores_each_value_once(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(insert, "stored", lambda df, label="keys": tables.append(kept(df, label)) or tables[-1])
+    rows = spark.createDataFrame([(i // 2, i // 3, i) for i in range(60)], "id long, u long, n long")
+    got = insert_ignore(None, rows, [["id"], ["u"]], ["n"])
+    want = loop_insert([], [r.asDict() for r in rows.collect()], [["id"], ["u"]], ["n"])
+    assert rows_of(got, "n") == sorted((r["n"],) for r in want)
+    assert all(not isinstance(f.dataType, T.StructType) for t in tables for f in t.schema)
+    # of the first round only the first row of each id is stored, and then only what it left open
+    assert [t.count() for t in tables[:3]] == [60, 30, 30]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_three_keys_with_nulls_like_a_loop(spark, seed):
+    rng = random.Random(seed)
+    some = lambda: rng.choice([None, *range(12)])
+    rows = [{"id": some(), "u": some(), "v": some(), "w": some(), "n": n} for n in rng.sample(range(60), 60)]
+    key_sets = [["id"], ["u"], ["v", "w"]]
+    got = insert_ignore(None, spark.createDataFrame(rows, "id long, u long, v long, w long, n long"), key_sets, ["n"])
+    want = loop_insert([], [r for r in rows if r["id"] is not None], key_sets, ["n"])
+    assert rows_of(got, "n") == sorted((r["n"],) for r in want)

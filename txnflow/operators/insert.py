@@ -95,16 +95,18 @@ def insert_ignore(
     ``first_of_rare_copies``) only the rows of repeated keys are aggregated. With more, whether a row
     enters depends on whether earlier ones did, so it is decided in rounds: in
     each one the rows that come first under all of their keys enter, and the
-    rows in conflict with them leave. A round stores one table, its pending
-    rows marked; what is left of it is the next round's input. One round is
-    enough unless conflicts chain; every round settles at least one row.
+    rows in conflict with them leave. A round stores the first row of each primary
+    key, marked whether it enters, and the rows still open: those of a primary key
+    whose first row did not, without the ones that another key rules out. One
+    round is enough unless conflicts chain; every round settles at least one row.
     """
     rows = incoming.filter(all_of([F.col(k).isNotNull() for k in key_sets[0]]))
     every_key = list(dict.fromkeys(k for keys in key_sets for k in keys))
-    # Of rows equal in all keys only the first can ever enter. This comes before
-    # the join with the target, so copies are combined before any shuffle, and
-    # the join finds the rows already partitioned by the primary key.
-    rows = (first_of_rare_copies if rare_copies else first_per_key)(rows, every_key, order)
+    if len(key_sets) == 1 or target is not None:
+        # Of rows equal in all keys only the first can ever enter. This comes before
+        # the join with the target, so copies are combined before any shuffle, and
+        # the join finds the rows already partitioned by the primary key.
+        rows = (first_of_rare_copies if rare_copies else first_per_key)(rows, every_key, order)
     if target is not None:
         for keys in key_sets:
             rows = _anti(rows, target, keys)
@@ -112,31 +114,40 @@ def insert_ignore(
         return rows
 
     ranked = [*[c for c in order if c not in every_key], *[c for c in rows.columns if c not in order], *every_key]
-    rank = F.struct(*dict.fromkeys(ranked))
-    pending = rows.withColumn("_rank", rank)
+    pending = stored(rows, "pending")
     entered: list[DataFrame] = []
     while True:
-        marked = stored(_mark_firsts(pending, key_sets), "pending")
-        firsts, rest = marked.where("_first"), marked.where("not _first")
-        entered.append(firsts)
-        if rest.isEmpty():
+        firsts = stored(_mark_firsts(pending, key_sets, list(dict.fromkeys(ranked))), "firsts")
+        entering, blocked = firsts.where("_first"), firsts.where("not _first")
+        entered.append(entering)
+        if (open_keys := not blocked.isEmpty()):
+            # a primary key is settled if its first row enters, so few keys are looked for and not the many settled ones
+            rest = pending.join(blocked.select(*key_sets[0]), list(key_sets[0]), "left_semi")
+            for keys in key_sets[1:]:
+                rest = _anti(rest, entering, keys)
+            pending = stored(rest, "pending")
+        if not open_keys or pending.isEmpty():
             return reduce(DataFrame.unionByName, entered).select(*incoming.columns)
-        for keys in key_sets:
-            rest = _anti(rest, firsts, keys)
-        pending = rest.drop("_first")
-
-
-def _mark_firsts(pending: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFrame:
-    """``pending`` with ``_first``: no pending row of lower rank shares a key."""
-    out, first = pending, F.lit(True)
-    for i, keys in enumerate(key_sets):
-        best = pending.groupBy(*keys).agg(F.min("_rank").alias(f"_best{i}"))
-        out = out.join(best, list(keys), "left")
-        free = F.lit(False)
-        for k in keys:
-            free = free | F.col(k).isNull()
-        first = first & (free | (F.col("_rank") == F.col(f"_best{i}")))
-    return out.select(*pending.columns, F.coalesce(first, F.lit(False)).alias("_first"))
+
+
+def _mark_firsts(pending: DataFrame, key_sets: Sequence[Sequence[str]], ranked: Sequence[str]) -> DataFrame:
+    """The first row of each primary key, with ``_first``: it is also the first of all its other keys.
+
+    Each key set has one aggregation over whole rows, which combines before its
+    shuffle. Of the other firsts only the keys are joined: they tell a row, as
+    of rows equal in all keys both aggregations see the first.
+    """
+    out, first = first_per_key(pending, key_sets[0], ranked).select(*pending.columns), F.lit(True)
+    every_key = list(dict.fromkeys(k for keys in key_sets for k in keys))
+    for i, keys in enumerate(key_sets[1:]):
+        given = all_of([F.col(k).isNotNull() for k in keys])
+        best = first_per_key(pending.where(given), keys, ranked)
+        best = best.select(*[F.col(k).alias(f"_{i}_{k}") for k in every_key], F.lit(True).alias(f"_hit{i}"))
+        known = {*key_sets[0], *keys}  # not NULL here, so these are plain join keys
+        same = [F.col(k) == F.col(f"_{i}_{k}") if k in known else F.col(k).eqNullSafe(F.col(f"_{i}_{k}")) for k in every_key]
+        out = out.join(best, all_of(same), "left")
+        first = first & (~given | F.col(f"_hit{i}").isNotNull())
+    return out.select(*pending.columns, first.alias("_first"))
 
 
 def returning(delta: DataFrame) -> DataFrame:
