@@ -20,9 +20,15 @@ from txnflow.streaming.start import DEFAULT_INTERVAL, run_name, start_sink
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def keep_state_on_disk(spark: SparkSession) -> None:
-    """Streams started from now on keep their state in RocksDB."""
+def keep_state_on_disk(spark: SparkSession, count_rows: bool = True) -> None:
+    """Streams started from now on keep their state in RocksDB, and what a batch changes as a log.
+
+    Progress reports tell the rows of the state if ``count_rows``; every write
+    then looks its key up once more.
+    """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", str(count_rows).lower())
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 def first_seen(rows: DataFrame, keys: Sequence[str], at: str, delay: str) -> DataFrame:
@@ -38,9 +44,10 @@ def start_first_seen(
     at: str,
     delay: str,
     interval: str | None = DEFAULT_INTERVAL,
+    count_rows: bool = True,
 ) -> StreamingQuery:
     """Store first-seen rows under ``root``; a repeated micro-batch replaces its own folder."""
-    keep_state_on_disk(rows.sparkSession)
+    keep_state_on_disk(rows.sparkSession, count_rows)
     run = run_name(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
