@@ -1,13 +1,18 @@
 """A stream of files gives what one batch gives, also after a restart."""
 
+import glob
+
+import pyarrow.parquet as pq
 import pytest
 
 from tests.test_coerce import record
 from tests.test_load import many, records, stored, txn
+from txnflow.plans import queries
 from txnflow.plans.feed import as_text_fields
 from txnflow.session import new_folder
 from txnflow.sinks.files import read_route
 from txnflow.sources import csv as csv_source
+from txnflow.streaming.first_seen import start_first_seen
 from txnflow.streaming.load import load_batch
 from txnflow.streaming.start import start_console, start_ingest, start_load, start_sink, stop_gracefully, wait
 from pyspark.sql import functions as F
@@ -70,3 +75,29 @@ def test_triggers_and_two_queries_on_one_source(spark):
 def test_a_checkpoint_is_required(spark):
     with pytest.raises(TypeError):
         start_sink(spark.readStream.format("rate").load(), lambda df, i: None)
+
+
+def test_tasks_can_share_the_files_of_message_load(spark, monkeypatch):
+    files = []
+    monkeypatch.setattr(queries, "PART_BYTES", 16 << 10)
+    read = queries.message_streams.stream_frames
+    monkeypatch.setattr(
+        queries.message_streams, "stream_frames", lambda s, folder, **kw: files.extend(glob.glob(f"{folder}/*.parquet")) or read(s, folder, **kw)
+    )
+    queries.message_load(spark, "/root/testdata/sf0.001")
+    parts = [pq.ParquetFile(f).num_row_groups for f in files if pq.ParquetFile(f).metadata.num_rows > 2000]
+    assert parts and min(parts) > 1
+
+
+def test_state_rows_are_counted_only_if_asked_for(spark):
+    folder = new_folder(spark, "in")
+    spark.range(20).select("id", F.timestamp_seconds(F.col("id") + 1).alias("at")).write.parquet(folder)
+    counted = []
+    for count in (False, True):
+        stream = spark.readStream.schema("id long, at timestamp").parquet(folder)
+        root, check = new_folder(spark, "seen"), new_folder(spark, "check")
+        query = start_first_seen(stream, root, check, ["id"], "at", "1 day", None, count_rows=count)
+        assert wait(query, 300)
+        assert spark.read.parquet(root).count() == 20
+        counted.append(query.recentProgress[0]["stateOperators"][0]["numRowsTotal"])
+    assert counted[1] == 20 and counted[0] != 20
