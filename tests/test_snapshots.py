@@ -9,10 +9,11 @@ from pyspark.sql import types as T
 
 from tests.test_load import many, records, rows_of, stored, txn
 from txnflow.operators import frames
-from txnflow.operators.validate import validate_and_route
-from txnflow.schema import RECORD_SCHEMA
-from txnflow.session import new_folder
-from txnflow.sinks.files import by_hour, read_route, route_sinks
+from txnflow.operators.validate import attach_errors, validate_and_route
+from txnflow.plans.feed import feed
+from txnflow.schema import RECORD_SCHEMA, TABLES
+from txnflow.session import configure, new_folder
+from txnflow.sinks.files import by_hour, read_route, route_sinks, routed_payload
 from txnflow.sources import csv as csv_source
 from txnflow.sources import fact_index, snapshots
 from txnflow.sources.tables import MONTH, compact, near_facts, read_table, scan_orphans
@@ -82,6 +83,48 @@ def test_a_small_batch_does_not_shuffle_stored_facts(spark):
     assert none.count() == 0 and "FileScan" not in none._jdf.queryExecution().executedPlan().toString()
 
 
+def test_new_facts_do_not_meet_stored_ones_by_a_join(spark):
+    root = new_folder(spark, "model")
+    load_batch(records(spark, many(6, 40)), root, "b-0")
+    facts = read_table(spark, root, "transactions")
+    months = [r[0] for r in facts.select(MONTH.name).distinct().collect()]
+    new = facts.limit(1).select(F.lit("nobody has this id").alias("id"), MONTH.name)
+    none = near_facts(spark, root, "b-1", new, months)
+    plan = facts.join(none, "id", "left_anti")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and none.dtypes == facts.select(*TABLES["transactions"].columns).dtypes
+
+
+def test_records_are_read_again_only_where_they_have_errors(spark):
+    df = validate_and_route(spark.createDataFrame([('{"a":"1"}',), ("{",)], "value string"))
+    kept = attach_errors(df, where=F.col("route") == "invalid").select("route", "payload").collect()
+    assert {r["route"]: r["payload"] is None for r in kept} == {"invalid": False, "malformed": True}
+    plan = routed_payload(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("CASE WHEN" in line.split("map_concat")[0] for line in plan.splitlines() if "map_concat" in line)
+
+
+def test_shuffles_of_an_ended_query_are_not_kept(spark):
+    configure(spark)
+    files = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    before = files()
+    for i in range(4):
+        assert len(spark.range(1000).groupBy(F.col("id") % 10).count().collect()) == 10
+    assert files() <= before
+
+
+def test_only_narrow_rows_are_shuffled_for_a_large_part_table(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = feed(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    lines = plan.toString().splitlines()
+    at = next(i for i, x in enumerate(lines) if "hashpartitioning(l_partkey" in x)
+    depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+    under = [x for x in lines[at + 1 :] if len(x) - len(x.lstrip(" :+-")) > depth][:2]
+    assert under and not any("c_name" in x for x in under)
+
+
 def test_routes_keep_line_breaks_and_show_whole_loads_only(spark, monkeypatch):
     root = new_folder(spark, "routed")
     broken = ['{"a": 1,\n"b": ', '{\r\n\r"a"', "\n", "x\n\ny"]

@@ -11,7 +11,10 @@ from txnflow.plans import queries
 from txnflow.plans.feed import as_text_fields
 from txnflow.session import new_folder
 from txnflow.sinks.files import read_route
+from txnflow.operators.validate import validate_and_route
 from txnflow.sources import csv as csv_source
+from txnflow.sources.tables import read_table
+from txnflow.streaming import start
 from txnflow.streaming.first_seen import start_first_seen
 from txnflow.streaming.load import load_batch
 from txnflow.streaming.start import start_console, start_ingest, start_load, start_sink, stop_gracefully, wait
@@ -89,6 +92,26 @@ def test_tasks_can_share_the_files_of_message_load(spark, monkeypatch):
     assert parts and min(parts) > 1
 
 
+def test_validation_is_built_once_and_not_for_every_batch(spark, monkeypatch):
+    built = []
+    monkeypatch.setattr(start, "validate_and_route", lambda df: built.append(df.isStreaming) or validate_and_route(df))
+    folder, root = new_folder(spark, "raw"), new_folder(spark, "model")
+    for part in ("a", "b"):
+        spark.createDataFrame([(record(trans_num=f'"{part}"'),)], "value string").coalesce(1).write.mode("append").text(folder)
+    query = start_ingest(csv_source.stream_records(spark, folder, 1), root, new_folder(spark, "check"), None)
+    assert wait(query, 300)
+    assert built == [True] and {r["transaction_num"] for r in read_table(spark, root, "transactions").collect()} == {"a", "b"}
+
+
+@pytest.mark.parametrize("name", ["stream_load", "stream_replay", "csv_strings"])
+def test_compressed_input_has_files_for_many_tasks(spark, monkeypatch, name):
+    made, folder = {}, queries.new_folder
+    monkeypatch.setattr(queries, "FILE_RECORDS", 500)
+    monkeypatch.setattr(queries, "new_folder", lambda s, label: made.setdefault(label, folder(s, label)))
+    queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert len(glob.glob(f"{made.get('raw') or made['csv']}/*.gz")) >= 11
+
+
 def test_state_rows_are_counted_only_if_asked_for(spark):
     folder = new_folder(spark, "in")
     spark.range(20).select("id", F.timestamp_seconds(F.col("id") + 1).alias("at")).write.parquet(folder)
