@@ -18,6 +18,7 @@ from txnflow.sources import csv as csv_source
 from txnflow.sources import fact_index, snapshots
 from txnflow.sources.tables import MONTH, compact, near_facts, read_table, scan_orphans
 from txnflow.streaming.first_seen import start_first_seen
+from txnflow.streaming import load
 from txnflow.streaming.load import load_batch
 from txnflow.streaming.messages import scan_aside, start_messages, stream_frames
 from txnflow.streaming.start import start_sink, wait
@@ -94,6 +95,17 @@ def test_new_facts_do_not_meet_stored_ones_by_a_join(spark):
     assert "Join" not in plan and none.dtypes == facts.select(*TABLES["transactions"].columns).dtypes
 
 
+def test_new_facts_beside_stored_ones_are_not_shuffled(spark, monkeypatch):
+    root, rows, plans = new_folder(spark, "model"), many(6, 40), []
+    load_batch(records(spark, rows[:20]), root, "b-0")
+    write = load.write_delta
+    keep = lambda name, delta, *a: plans.append((name, delta._jdf.queryExecution().executedPlan().toString())) or write(name, delta, *a)
+    monkeypatch.setattr(load, "write_delta", keep)
+    load_batch(records(spark, rows[10:]), root, "b-1")
+    assert "hashpartitioning" not in dict(plans)["transactions"]
+    assert read_table(spark, root, "transactions").count() == 40
+
+
 def test_records_are_read_again_only_where_they_have_errors(spark):
     df = validate_and_route(spark.createDataFrame([('{"a":"1"}',), ("{",)], "value string"))
     kept = attach_errors(df, where=F.col("route") == "invalid").select("route", "payload").collect()
